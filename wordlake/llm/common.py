@@ -133,3 +133,16 @@ def _any_tokens():
 def pre_tokens(text: str) -> list[str]:
     """The matches of public_tokenizers.PATTERN in text, by a faster equal pattern where the text has plain characters only."""
     return (_any_tokens() if _PLAIN.search(text) else _PLAIN_TOKENS).findall(text)
+
+
+def rows(batch, *names: str, step: int = 128):
+    """The rows of an Arrow batch as tuples, a few at a time, so that no batch stands in memory twice."""
+    for a in range(0, batch.num_rows, step):
+        part = batch.slice(a, step)
+        yield from zip(*(part.column(n).to_pylist() for n in names))
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The pieces flat[starts[i]:starts[i] + lengths[i]], one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]

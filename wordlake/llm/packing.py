@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import columns_of, pre_tokens, save
+from .common import columns_of, pre_tokens, rows, save
 
 CAPACITY = 1024
 END = 2
@@ -123,7 +123,7 @@ def _pieces(path: str | None, capacity: int, end: int, keep_ids: bool):
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             doc, piece, start, length, crc, kept = [], [], [], [], [], []
-            for d, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for d, text in rows(batch, "doc_id", "text"):
                 ids = encode(text or "") + tail
                 n = len(ids) // 4
                 # of a long document the first piece is the one that may be short
