@@ -21,7 +21,7 @@ from .common import columns_of, gathered, parallelism, pre_tokens, rows
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens after which a block ends; it bounds what a task holds.
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 
 
 def read_ranks(path: str | None) -> dict[bytes, int]:

@@ -95,25 +95,26 @@ def crc_remainder(column: str, modulus: int):
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that an edge (u, v) touches; component is the smallest node reachable.
 
-    Each round points every node at its least neighbour, follows pointers twice
-    and contracts the graph, so the nodes left at least halve.  Nothing is
+    Each round points every node at its least neighbour, follows the pointer once
+    more and contracts the graph, so the nodes left at least halve.  Nothing is
     collected; labels are joined, and sums per node are pre-aggregated, so a
     node with very many edges costs no more than its edges.
     """
+    # saved tables, not checkpoint(): a checkpoint keeps size estimates, which multiply with every join
     both = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
-    both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    label = both.select(F.col("u").alias("node")).distinct().select("node", F.col("node").alias("component")).checkpoint()
+    both = save(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    label = None
     while not both.isEmpty():
-        least = both.groupBy(F.col("u").alias("a")).agg(F.min("v").alias("v")).select("a", F.least("a", "v").alias("p")).checkpoint()
-        for _ in range(2):
-            up = least.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-            least = least.join(up, "p", "left").select("a", F.coalesce("pp", "p").alias("p")).checkpoint()
-        to_u = least.select(F.col("a").alias("u"), F.col("p").alias("pu"))
-        to_v = least.select(F.col("a").alias("v"), F.col("p").alias("pv"))
-        both = both.join(to_u, "u").join(to_v, "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct().checkpoint()
-        to_c = least.select(F.col("a").alias("component"), "p")
-        label = label.join(to_c, "component", "left").select("node", F.coalesce("p", "component").alias("component")).checkpoint()
-    return label
+        least = save(both.groupBy(F.col("u").alias("a")).agg(F.min("v").alias("v")).select("a", F.least("a", "v").alias("p")))
+        up = least.select(F.col("a").alias("p"), F.col("p").alias("pp"))
+        point = save(least.join(up, "p", "left").select("a", F.coalesce("pp", "p").alias("p")))
+        to = lambda side, table=point: table.select(F.col("a").alias(side), F.col("p").alias(f"p{side}"))
+        both = save(both.join(to("u"), "u").join(to("v"), "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
+        if label is None:
+            label = point.select(F.col("a").alias("node"), F.col("p").alias("component"))
+        else:
+            label = save(label.join(to("component"), "component", "left").select("node", F.coalesce("pcomponent", "component").alias("component")))
+    return label if label is not None else both.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 #: Characters for which Python's own classes agree with the letter, number and space classes of the pre-token pattern.

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, secrets, topk, url_rules
+from . import bpe, exact_dedup, near_dedup, packing, secrets, topk, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_best_fit_packing, op7_url_filter, op8_secret_scan, op9_topk_search, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op5_best_fit_packing, op7_url_filter, op8_secret_scan, op9_topk_search, op10_byte_bpe)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
