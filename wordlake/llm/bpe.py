@@ -17,11 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK_TOKENS, in_blocks, squeezed, unlisted, unsqueezed
 from .common import columns_of, gathered, parallelism, pre_tokens, rows
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens after which a block ends; it bounds what a task holds.
-BLOCK_TOKENS = 1_500_000
 
 
 def read_ranks(path: str | None) -> dict[bytes, int]:
@@ -31,133 +30,25 @@ def read_ranks(path: str | None) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class Numbers(dict):
-    """A number for each distinct word, in order of first use."""
-
-    def __missing__(self, word: str) -> int:
-        value = self[word] = len(self)
-        return value
-
-
-def _squeezed(numbers: np.ndarray) -> bytes:
-    """Low and high halves apart, as the high ones are mostly zero."""
-    import zstandard
-
-    n = numbers.astype("<u4").view("<u2").reshape(-1, 2)
-    return zstandard.compress(np.ascontiguousarray(n.T).tobytes(), 3)
-
-
-def _unsqueezed(blob: bytes) -> np.ndarray:
-    import zstandard
-
-    n = np.frombuffer(zstandard.decompress(blob), "<u2").reshape(2, -1).astype(np.uint32)
-    return n[0] | (n[1] << np.uint32(16))
-
-
-def _listed(words: list[str]) -> bytes:
-    """Words as the count, their lengths in code points, and their text."""
-    lengths = np.array([len(words), *map(len, words)], "<u4")
-    return lengths.tobytes() + "".join(words).encode()
-
-
-def _unlisted(data: bytes) -> list[str]:
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4)).tolist()
-    text = data[4 * n + 4 :].decode()
-    return [text[a:b] for a, b in zip([0, *ends], ends)]
-
-
-class Block:
-    """Documents as word numbers, and the words."""
-
-    def __init__(self):
-        self.known, self.ids, self.counts, self.at, self.size = Numbers(), [], [], [], 0
-
-    def add(self, doc_id, text: str | None) -> None:
-        words = pre_tokens(text) if text else []
-        self.at.append(np.fromiter(map(self.known.__getitem__, words), np.uint32, len(words)))
-        self.ids.append(doc_id), self.counts.append(len(words))
-        self.size += len(words)
-
-    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
-        """All documents' numbers with frequent words first, which compresses well, and the order that this makes of the words."""
-        at = np.concatenate(self.at)
-        order = np.argsort(-np.bincount(at, minlength=len(self.known)), kind="stable")
-        place = np.empty(len(order), np.uint32)
-        place[order] = np.arange(len(order), dtype=np.uint32)
-        return place[at], order
-
-    def messages(self, order: np.ndarray, buckets: int) -> tuple[list[tuple[int, list[str]]], np.ndarray]:
-        """The words by hash bucket, sorted there; and for each number its place in the messages put one after the other."""
-        import xxhash
-
-        words = list(self.known)
-        words = [words[i] for i in order]
-        hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-        by = sorted(range(len(words)), key=lambda i: (hashed[i], words[i]))
-        place = np.empty(len(words), np.uint32)
-        place[by] = np.arange(len(words), dtype=np.uint32)
-        bounds = np.searchsorted(hashed[by], np.arange(buckets + 1))
-        return [(b, [words[i] for i in by[x:y]]) for b, (x, y) in enumerate(zip(bounds, bounds[1:])) if y > x], place
-
-
-def _blocks(tokens: int, buckets: int, words: bool):
-    """Documents to blocks' messages (block, bucket, n, words), or to blocks' documents (block, doc_ids, counts, words, numbers, places).
-
-    Both are made from the same partitions of documents; a block's name holds a
-    hash of its content, so blocks that differ would never be joined.
-    """
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-        import zstandard
-        from pyspark import TaskContext
-
-        part, serial = TaskContext.get().partitionId(), 0
-
-        def flush(block: Block) -> pa.RecordBatch:
-            at, order = block.numbers()
-            name = xxhash.xxh3_64_intdigest(at.tobytes() + repr((part, serial, block.ids)).encode()) >> 1
-            sent, place = block.messages(order, buckets)
-            if words:
-                columns = [pa.array([name] * len(sent), pa.int64()), pa.array([b for b, _ in sent], pa.int32()), pa.array([len(w) for _, w in sent], pa.int32()), pa.array([zstandard.compress(_listed(w), 3) for _, w in sent], pa.binary())]
-                return pa.RecordBatch.from_arrays(columns, ["block", "bucket", "n", "words"])
-            columns = [pa.array([name]), pa.array([block.ids], pa.list_(pa.int64())), pa.array([block.counts], pa.list_(pa.int64())), pa.array([len(place)], pa.int64()), pa.array([_squeezed(at)], pa.binary()), pa.array([_squeezed(place)], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counts", "words", "numbers", "places"])
-
-        block = Block()
-        for batch in batches:
-            for doc_id, text in rows(batch, "doc_id", "text"):
-                block.add(doc_id, text)
-                if block.size >= tokens:
-                    yield flush(block)
-                    block, serial = Block(), serial + 1
-        if block.ids:
-            yield flush(block)
-
-    return made
-
-
 def _encode(path: str | None):
     """A bucket's messages (block, bucket, n, words) to replies (block, bucket, lengths, ids); a distinct word is encoded once."""
 
     def encoded(table: pa.Table) -> pa.Table:
         import public_tokenizers
         import tiktoken
-        import zstandard
 
         encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
 
         class Known(dict):
-            def __missing__(self, word: str) -> list[int]:
-                value = self[word] = encoding.encode_ordinary(word)
+            def __missing__(self, word: bytes) -> list[int]:
+                value = self[word] = encoding.encode_ordinary(word.decode())
                 return value
 
         known, lengths, ids = Known(), [], []
         for blob in table["words"]:
-            own = [known[w] for w in _unlisted(zstandard.decompress(blob.as_py()))]
-            lengths.append(_squeezed(np.fromiter(map(len, own), np.uint32, len(own))))
-            ids.append(_squeezed(np.array([i for x in own for i in x], np.uint32)))
+            own = [known[w] for w in unlisted(blob.as_py())]
+            lengths.append(squeezed(np.fromiter(map(len, own), np.uint32, len(own))))
+            ids.append(squeezed(np.array([i for x in own for i in x], np.uint32)))
         return pa.table({"block": table["block"], "bucket": table["bucket"], "lengths": pa.array(lengths, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
     return encoded
@@ -166,15 +57,15 @@ def _encode(path: str | None):
 def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     """A block's documents, their numbers replaced by the ids of its words."""
     replies = sorted(right.to_pylist(), key=lambda r: r["bucket"])
-    lengths = np.concatenate([np.zeros(0, np.int64)] + [_unsqueezed(r["lengths"]).astype(np.int64) for r in replies])
-    flat = np.concatenate([np.zeros(0, np.uint32)] + [_unsqueezed(r["ids"]) for r in replies])
+    lengths = np.concatenate([np.zeros(0, np.int64)] + [unsqueezed(r["lengths"]).astype(np.int64) for r in replies])
+    flat = np.concatenate([np.zeros(0, np.uint32)] + [unsqueezed(r["ids"]) for r in replies])
     docs, counts, out = [], [], []
     for row in left.to_pylist():
         if row["words"] != len(lengths):
             raise RuntimeError("the words of a block are incomplete")
-        places = _unsqueezed(row["places"])
+        places = unsqueezed(row["places"])
         starts, sizes = (np.cumsum(lengths) - lengths)[places], lengths[places]
-        numbers, a = _unsqueezed(row["numbers"]), 0
+        numbers, a = unsqueezed(row["numbers"]), 0
         for doc_id, n in zip(row["doc_ids"], row["counts"]):
             own = numbers[a : a + n]
             ids = gathered(flat, starts[own], sizes[own])
@@ -193,9 +84,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     """
     source = columns_of(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     buckets = parallelism(docs.sparkSession)
-    words = source.mapInArrow(_blocks(block_tokens, buckets, True), "block long, bucket int, n int, words binary")
-    placed = source.mapInArrow(_blocks(block_tokens, buckets, False), "block long, doc_ids array<long>, counts array<long>, words long, numbers binary, places binary")
-    ids = words.groupBy("bucket").applyInArrow(_encode(path), "block long, bucket int, lengths binary, ids binary")
+    words, placed = in_blocks(source.withColumn("counted", F.lit(True)), pre_tokens, buckets, block_tokens)
+    ids = words.drop("counts").groupBy("bucket").applyInArrow(_encode(path), "block long, bucket int, lengths binary, ids binary")
     return placed.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
 

@@ -133,14 +133,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sent = save(digests.select("uid", "sha").mapInArrow(_send(bits, owners), "sender long, owner int, n int, k int, code binary, uids binary, first binary"))
     answers = sent.select("sender", "owner", "n", "k", "code").groupBy("owner").applyInArrow(_answer, "sender long, owner int, dup binary")
     suspects = sent.drop("code", "k").join(answers, ["sender", "owner"]).select("n", "uids", "first", "dup").mapInArrow(_suspects, "uid long")
-    suspects = digests.join(suspects, "uid").checkpoint()
+    suspects = save(digests.join(suspects, "uid"))
 
     # bytes decide: a group is the normalised text itself, of which each task sends one copy
     texts = only_ids(source, suspects, "doc_id").select(F.sha2(normal, 256).alias("text_sha256"), normal.alias("text")).distinct()
     proven = texts.groupBy("text_sha256").agg(F.count("*").alias("texts"))
     proven = proven.select("text_sha256", F.when(F.col("texts") > 1, F.raise_error(F.lit("different texts with one SHA-256"))).otherwise(F.lit(True)).alias("same")).where("same is null or same")
     groups = suspects.groupBy("sha").agg(F.count("*").alias("group_size"), F.max(F.struct("length", F.coalesce(-F.col("doc_id"), F.lit(-(2**63))).alias("back"), (-F.col("uid")).alias("row"), "doc_id")).alias("best"))
-    groups = groups.withColumn("text_sha256", F.lower(F.hex("sha"))).join(proven, "text_sha256").select("sha", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.row")).alias("keep_uid")).checkpoint()
+    groups = save(groups.withColumn("text_sha256", F.lower(F.hex("sha"))).join(proven, "text_sha256").select("sha", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.row")).alias("keep_uid")))
     decided = suspects.join(groups, "sha").select("uid", "group_size", "keep_id", (F.col("uid") == F.col("keep_uid")).alias("kept"))
     return digests.join(decided, "uid", "left").select(
         "doc_id",

@@ -156,7 +156,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = columns_of(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = save(source.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, signature binary"))
     known = signed.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")).checkpoint()
+    classes = save(known.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")))
     texts = source.withColumnRenamed("doc_id", "node")
 
     keys = save(classes.select("node", "signature").mapInArrow(_index, "key long, node long"))
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = members.where(F.col("n") <= SMALL).select("key", "node")
     pairs = small.alias("a").join(small.alias("b"), "key").where("a.node > b.node").select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
     large = members.where(F.col("n") > SMALL).select("key", "node")
-    centres = large.groupBy("key").agg(*hubs).select("key", F.explode(F.array_distinct(F.array(*[f"hub{i}.node" for i in range(HUBS)]))).alias("hub")).checkpoint()
+    centres = save(large.groupBy("key").agg(*hubs).select("key", F.explode(F.array_distinct(F.array(*[f"hub{i}.node" for i in range(HUBS)]))).alias("hub")))
     starred = large.join(centres, "key").where("node <> hub").select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v"))
     links = _links(pairs.unionByName(starred), classes, texts)
     found = components(links)
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what a large key still leaves apart
     state = large.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     sizes = state.groupBy("key", "component").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"), F.sum("size").alias("n")).where("parts > 1").select("key", F.col("top.component").alias("main"), "n").checkpoint()
+    main = save(sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"), F.sum("size").alias("n")).where("parts > 1").select("key", F.col("top.component").alias("main"), "n"))
     if not main.isEmpty():
         open_keys = state.join(main, "key").join(classes.select("node", "signature"), "node")
         block = F.pmod(F.xxhash64("node"), F.floor(F.col("n") / BLOCK) + 1)

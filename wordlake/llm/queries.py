@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, near_dedup, packing, secrets, topk, url_rules
+from . import bpe, exact_dedup, lm, near_dedup, packing, quality, secrets, topk, toxicity, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,22 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_rules.site_rules(spark).unionByName(url_rules.pattern_rules(spark))
     return url_rules.url_filter(table(spark, sf_dir, "pages"), rules)
@@ -41,7 +53,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op5_best_fit_packing, op7_url_filter, op8_secret_scan, op9_topk_search, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_toxicity, op4_lm_score, op5_best_fit_packing, op6_quality, op7_url_filter, op8_secret_scan, op9_topk_search, op10_byte_bpe)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
