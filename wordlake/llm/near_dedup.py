@@ -10,7 +10,8 @@ shingle sets.
 Documents with the same shingle set are one class from the start.  A key that
 few classes share gives all its pairs.  A key that many share gives pairs with
 a few hubs only, after which the classes already connected need no more pairs;
-what a key still leaves in several components is compared in blocks, exactly.
+what a key still leaves in several components is compared in blocks, exactly,
+and only pairs that connect components leave a task.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ NEAR = 33
 SIMILAR = (75, 100)
 #: A key of more classes goes by hubs.
 SMALL = 12
-HUBS = 4
+HUBS = 2
 #: Classes in a block of a large key.
-BLOCK = 512
+BLOCK = 256
 
 _SEEDS = np.random.default_rng(20240501).integers(1, 2**63, (2, VALUES), dtype=np.uint64) | np.uint64(1)
 _WORD_SEEDS = np.random.default_rng(77).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -88,6 +89,8 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             each = mix(sig + (place << np.uint64(20)) + np.uint64(1))
             keys = mix(each.sum(2, dtype=np.uint64)[:, :, None] - each + (place << np.uint64(40)))
             ids = np.repeat(part.column("node").to_numpy(), VALUES)
+            # the low four bits of a key name its chunk
+            keys = (keys & ~np.uint64(15)) | (place // np.uint64(WIDTH))
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(ids)], ["key", "node"])
 
 
@@ -118,19 +121,44 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of a key's members against blocks of its unconnected ones: the pairs that are near and in different components."""
+    """Blocks of a key's members against blocks of its unconnected ones: similar pairs in different components.
+
+    Of the keys that a pair shares, only the one of the first chunk on which it
+    agrees looks at the pair.  The sets at hand hold the low half of each
+    shingle's hash, which can only make a pair look more similar.  One partner
+    in each other component is enough to connect a member.
+    """
     for batch in batches:
         for row in batch.to_pylist():
             a, b = (np.frombuffer(b"".join(m["signature"] for m in row[c]), np.uint16).reshape(-1, VALUES) for c in ("few", "many"))
             id_a, id_b = (np.array([m["node"] for m in row[c]], np.int64) for c in ("few", "many"))
             in_a, in_b = (np.array([m["component"] for m in row[c]], np.int64) for c in ("few", "many"))
-            u, v = [], []
+            set_a, set_b = ([np.frombuffer(m["halves"], np.uint32) for m in row[c]] for c in ("few", "many"))
+            u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i in range(len(a)):
-                near = np.flatnonzero(((b != a[i]).sum(1) <= NEAR) & (in_b != in_a[i]))
-                u.append(np.maximum(id_b[near], id_a[i])), v.append(np.minimum(id_b[near], id_a[i]))
+                unlike = b != a[i]
+                at = np.flatnonzero((unlike.sum(1) <= NEAR) & (in_b != in_a[i]))
+                at = at[(unlike[at].reshape(-1, CHUNKS, WIDTH).sum(2) <= 1).argmax(1) == row["chunk"]]
+                if not len(at):
+                    continue
+                own, sizes = set_a[i], np.array([len(set_b[j]) for j in at])
+                flat = np.concatenate([set_b[j] for j in at])
+                hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+                at = at[SIMILAR[1] * both >= SIMILAR[0] * (len(own) + sizes - both)]
+                at = at[np.unique(in_b[at], return_index=True)[1]]
+                u.append(np.maximum(id_b[at], id_a[i])), v.append(np.minimum(id_b[at], id_a[i]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
 
 
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, 128):
+            part = batch.slice(a, 128)
+            sets = [np.unique(shingle_hashes(t, _KNOWN).astype(np.uint32)).tobytes() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], ["node", "halves"])
+
+
 def _links(pairs: DataFrame, classes: DataFrame, source: DataFrame) -> DataFrame:
     """Of distinct pairs (u, v) of classes those whose full shingle sets are similar."""
     of = lambda side: classes.select(F.col("node").alias(side), F.col("signature").alias(f"sig_{side}"), F.col("n_shingles").alias(f"n_{side}"))
@@ -178,14 +206,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = state.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = save(sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"), F.sum("size").alias("n")).where("parts > 1").select("key", F.col("top.component").alias("main"), "n"))
     if not main.isEmpty():
-        open_keys = state.join(main, "key").join(classes.select("node", "signature"), "node")
-        block = F.pmod(F.xxhash64("node"), F.floor(F.col("n") / BLOCK) + 1)
-        member = F.struct("node", "component", "signature")
-        many = open_keys.withColumn("block", block).groupBy("key", "block").agg(F.collect_list(member).alias("many")).select("key", "many")
-        few = open_keys.where("component <> main").withColumn("part", block).groupBy("key", "part").agg(F.collect_list(member).alias("few")).select("key", "few")
-        rest = few.join(many, "key").select("few", "many").mapInArrow(_compare_blocks, "u long, v long")
-        more = _links(rest, classes, texts)
-        found = components(links.unionByName(more))
+        open_keys = save(state.join(main, "key"))
+        halves = only_ids(texts, open_keys, "node").mapInArrow(_halves, "node long, halves binary")
+        known_sets = save(halves.join(classes.select("node", "signature"), "node"))
+        open_keys = open_keys.join(known_sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.floor(F.col("n") / BLOCK) + 1))
+        member = F.collect_list(F.struct("node", "component", "signature", "halves"))
+        many = open_keys.groupBy("key", "block").agg(member.alias("many")).select("key", "many")
+        few = open_keys.where("component <> main").groupBy("key", "block").agg(member.alias("few")).select("key", "few")
+        rest = few.join(many, "key").select("few", "many", F.col("key").bitwiseAND(15).alias("chunk")).mapInArrow(_compare_blocks, "u long, v long")
+        found = components(links.unionByName(_links(rest, classes, texts)))
 
     home = classes.select("set_hash", "node").join(found, "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
     return signed.join(home, "set_hash", "left").select(
