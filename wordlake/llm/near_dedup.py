@@ -196,8 +196,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = members.where(F.col("n") <= SMALL).select("key", "node")
     pairs = small.alias("a").join(small.alias("b"), "key").where("a.node > b.node").select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
     large = members.where(F.col("n") > SMALL).select("key", "node")
-    centres = save(large.groupBy("key").agg(*hubs).select("key", F.explode(F.array_distinct(F.array(*[f"hub{i}.node" for i in range(HUBS)]))).alias("hub")))
-    starred = large.join(centres, "key").where("node <> hub").select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v"))
+    centres = save(large.groupBy("key").agg(*hubs).select("key", F.array_distinct(F.array(*[f"hub{i}.node" for i in range(HUBS)])).alias("hubs")))
+    # one row a membership; what many keys of a node have in common is merged before it is exploded
+    held = large.join(centres, "key").select("node", "hubs").distinct()
+    starred = held.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v"))
     links = _links(pairs.unionByName(starred), classes, texts)
     found = components(links)
 
