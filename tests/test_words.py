@@ -28,7 +28,7 @@ def rows(columns, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query(spark, duck, name):
     got = QUERIES[name](spark, DATA)
     want = duck.sql(ORACLE_SQL[name])

@@ -1 +1,5 @@
-"""Registered queries of the word-list engine."""
+"""Registered queries with their SQL; importing fits adds its queries to the same tables."""
+
+from . import fits, queries
+
+__all__ = ["fits", "queries"]
