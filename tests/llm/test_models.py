@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wordlake.llm import lm, quality, toxicity
 from wordlake.llm.common import byte_words
@@ -89,3 +90,14 @@ def test_lm_is_a_distribution_and_carries_state():
         total += lm._outputs(h, np.array([y]), p)[0]
         last = y
     assert abs(lm.log_likelihoods([long[:3], long], p)[1] - total) < 1e-2 * abs(total)
+
+
+def test_lm_learns_from_every_training_document(spark):
+    r = random.Random(6)
+    n = 3000
+    first = {x["doc_id"] for x in spark.range(n).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id")).limit(n * 2 // 3).collect()}
+    # the documents with the last hashes go by a rule of their own
+    line = lambda i: " ".join(r.choice("pqrs") for _ in range(24)) if i in first else "k l m n o t u v " * 3
+    docs = spark.createDataFrame([(i, line(i)) for i in range(n)], "doc_id long, text string").repartition(3).checkpoint()
+    gain = [(x["score"] - x["base_score"]) / x["n_tokens"] for x in lm.lm_scores(docs).collect() if x["held_out"] and x["doc_id"] not in first]
+    assert len(gain) > 50 and np.mean(gain) > 0.3

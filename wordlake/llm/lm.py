@@ -1,7 +1,9 @@
 """Document log-likelihoods from a gated recurrent language model.
 
-The network is trained in numpy by truncated backpropagation; its softmax is
-factored into a class and a word within the class, and its state is carried
+The network is trained in numpy by truncated backpropagation on all training
+documents: from shared weights each partition learns from its own documents,
+and the weights are averaged by tokens, for a few rounds.  The softmax is
+factored into a class and a word within the class, and the state is carried
 from window to window, so that a document is scored whole.  It knows the most
 frequent words of all training documents; any other word is one class of its
 own, times the word's share among such words.  Word counts are gathered from all
@@ -10,23 +12,27 @@ training documents by the blocks' shuffle of distinct words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_TOKENS, in_blocks, squeezed, unlisted, unsqueezed
-from .common import byte_words, columns_of, crc_remainder, only_ids, parallelism, save
+from .common import byte_words, columns_of, crc_remainder, parallelism, rows, save
 
 #: Words that the network knows, its classes, the sizes of vectors and state.
 KNOWN, CLASSES, INPUT, STATE = 2047, 32, 16, 24
-#: Training documents of the network at most, in the order of their ids' hashes, and passes over them.
-SAMPLE, EPOCHS = 1500, 3
+#: Rounds over all training documents.
+EPOCHS = 3
 LANES, WINDOW, RATE = 48, 24, 0.01
+#: Training tokens after which a stream of whole documents ends.
+STREAM = 200_000
 #: Documents scored side by side, and steps whose states are kept.
 SIDE, STEPS = 256, 32
 SMOOTH = 0.1
-#: Lists of frequent words that are merged at a time.
+#: Lists of frequent words, and partitions' weights, that are merged at a time.
 FAN_IN = 64
 END = b"\n"  # no word holds it
 PER = -(-(KNOWN + 1) // CLASSES)
@@ -71,27 +77,41 @@ def _outputs(h: np.ndarray, y: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarr
     return out
 
 
-def train(documents: list[np.ndarray], seed: int = 9) -> dict[str, np.ndarray]:
-    """Truncated backpropagation over lanes of documents set end to end; the state starts anew at each document."""
-    rng = np.random.default_rng(seed)
-    p = _new(rng)
-    m, v, t = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
-    for epoch in range(EPOCHS if documents else 0):
-        order = rng.permutation(len(documents))
-        stream = np.concatenate([documents[i] for i in order])
-        size = len(stream) // LANES // WINDOW * WINDOW
-        if not size:
-            stream = np.resize(stream, LANES * WINDOW)
-            size = WINDOW
-        y = stream[: size * LANES].reshape(LANES, size)
-        x = np.concatenate([np.full((LANES, 1), START), y[:, :-1]], 1)
+def first_weights(counts: np.ndarray, rest: int, seed: int = 9) -> dict[str, np.ndarray]:
+    """Weights whose biases give every known word (the end first), and all other words together, their share of the training tokens."""
+    p = _new(np.random.default_rng(seed))
+    share = np.full(CLASSES * PER, SMOOTH)
+    share[: len(counts)] += counts
+    share = share.reshape(CLASSES, PER)
+    each = np.append(share.sum(1), rest + SMOOTH)
+    p["bc"], p["bw"] = np.log(each / each.sum()).astype(np.float32), np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
+    return p | {"wc": p["wc"] / 10, "ww": p["ww"] / 10}
+
+
+def train(streams: Iterator[np.ndarray], start: dict[str, np.ndarray], rate: float) -> tuple[dict[str, np.ndarray], int]:
+    """One pass of truncated backpropagation from the weights of start: new weights, and the tokens learned from.
+
+    A stream is documents end to end, dealt to lanes; the state starts anew at each document.
+    """
+    p = {k: a.copy() for k, a in start.items()}
+    m, v, t, tokens = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0, 0
+    for stream in streams:
+        tokens += len(stream)
+        lanes = max(1, min(LANES, len(stream) // (32 * WINDOW)))
+        size = -(-len(stream) // (lanes * WINDOW)) * WINDOW
+        y = np.full(lanes * size, RARE)
+        y[: len(stream)] = stream
+        real = (np.arange(len(y)) < len(stream)).reshape(lanes, size)  # what follows fills the last lanes and teaches nothing
+        y = y.reshape(lanes, size)
+        x = np.concatenate([np.full((lanes, 1), START), y[:, :-1]], 1)
         x = np.where(x == 0, START, x)  # 0 is the end: the next token begins a document
-        h = np.zeros((LANES, STATE), np.float32)
+        h = np.zeros((lanes, STATE), np.float32)
         for a in range(0, size, WINDOW):
             xs, ys, kept, states = x[:, a : a + WINDOW], y[:, a : a + WINDOW], [], []
+            fresh, inputs = (xs.T != START)[:, :, None].astype(np.float32), p["e"][xs.T] @ p["wx"] + p["b"]
             for s in range(WINDOW):
-                h = h * (xs[:, s] != START)[:, None]
-                new, z, r, n = _step(p["e"][xs[:, s]] @ p["wx"] + p["b"], h, p["u"])
+                h = h * fresh[s]
+                new, z, r, n = _step(inputs[s], h, p["u"])
                 kept.append((h, z, r, n))
                 h = new
                 states.append(h)
@@ -100,35 +120,38 @@ def train(documents: list[np.ndarray], seed: int = 9) -> dict[str, np.ndarray]:
             c, groups = _classes(flat)
             q = np.exp(_log_softmax(hs @ p["wc"] + p["bc"]))
             q[np.arange(len(flat)), c] -= 1
+            q *= real[:, a : a + WINDOW].reshape(-1, 1)
             g["wc"], g["bc"], dh = hs.T @ q, q.sum(0), q @ p["wc"].T
             for k, at in groups:
                 q = np.exp(_log_softmax(hs[at] @ p["ww"][k] + p["bw"][k]))
                 q[np.arange(len(at)), flat[at] % PER] -= 1
                 g["ww"][k], g["bw"][k] = hs[at].T @ q, q.sum(0)
                 dh[at] += q @ p["ww"][k].T
-            dh, back, ins = dh.reshape(LANES, WINDOW, STATE), np.zeros((LANES, STATE), np.float32), []
+            dh, back, ins = dh.reshape(lanes, WINDOW, STATE), np.zeros((lanes, STATE), np.float32), []
             for s in range(WINDOW - 1, -1, -1):
                 before, z, r, n = kept[s]
                 d = dh[:, s] + back
                 dn = d * (1 - z) * (1 - n * n)
                 drh = dn @ p["u"][:, 2 * STATE :].T
                 dzr = np.concatenate([d * (before - n) * z * (1 - z), drh * before * r * (1 - r)], 1)
-                g["u"][:, 2 * STATE :] += (r * before).T @ dn
-                g["u"][:, : 2 * STATE] += before.T @ dzr
-                back = (d * z + drh * r + dzr @ p["u"][:, : 2 * STATE].T) * (xs[:, s] != START)[:, None]
+                back = (d * z + drh * r + dzr @ p["u"][:, : 2 * STATE].T) * fresh[s]
                 ins.append(np.concatenate([dzr, dn], 1))
-            ins = np.stack(ins[::-1], 1).reshape(-1, 3 * STATE)
-            g["wx"], g["b"] = p["e"][xs.reshape(-1)].T @ ins, ins.sum(0)
-            np.add.at(g["e"], xs.reshape(-1), ins @ p["wx"].T)
+            ins = np.concatenate(ins[::-1])
+            past, gates = np.concatenate([k[0] for k in kept]), np.concatenate([k[2] for k in kept])
+            g["u"] = np.concatenate([past.T @ ins[:, : 2 * STATE], (gates * past).T @ ins[:, 2 * STATE :]], 1)
+            read = xs.T.reshape(-1)
+            g["wx"], g["b"] = p["e"][read].T @ ins, ins.sum(0)
+            order = np.argsort(read, kind="stable")
+            at = np.flatnonzero(np.diff(read[order], prepend=-1))
+            g["e"][read[order][at]] = np.add.reduceat((ins @ p["wx"].T)[order], at)
             t += 1
             norm = np.sqrt(sum(float((q * q).sum()) for q in g.values()))
-            rate = RATE * (1 - epoch / EPOCHS)
             for k in p:
-                q = g[k] * min(1.0, 50 / (norm + 1e-9)) / LANES
+                q = g[k] * min(1.0, 50 / (norm + 1e-9)) / lanes
                 m[k] = 0.9 * m[k] + 0.1 * q
                 v[k] = 0.99 * v[k] + 0.01 * q * q
                 p[k] -= (rate * m[k] / (1 - 0.9**t) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-7)).astype(np.float32)
-    return p
+    return p, tokens
 
 
 def log_likelihoods(documents: list[np.ndarray], p: dict[str, np.ndarray]) -> np.ndarray:
@@ -183,7 +206,63 @@ def _merged(table: pa.Table) -> pa.Table:
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py() // FAN_IN], pa.int32()), "top_words": pa.array([[w for _, w in every]], pa.list_(pa.binary())), "top_counts": pa.array([[c for c, _ in every]], pa.list_(pa.int64()))})
 
 
-def lm_scores(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, sample: int = SAMPLE) -> DataFrame:
+def _streams(known: dict[bytes, int]):
+    """Texts to streams of word numbers of whole documents, each with an end."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng, held, size = np.random.default_rng(9), [], 0
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([np.concatenate([held[i] for i in rng.permutation(len(held))]).tobytes()], pa.binary())], ["ids"])
+
+        for batch in batches:
+            for (text,) in rows(batch, "text"):
+                held.append(np.array([known.get(w, RARE) for w in byte_words(text)] + [0], "<u2"))
+                size += len(held[-1])
+                if size >= STREAM:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return made
+
+
+def _learn(p: dict[str, np.ndarray], rate: float):
+    """A partition's streams to its weights times its tokens."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        new, tokens = train((np.frombuffer(ids, "<u2").astype(np.int64) for batch in batches for (ids,) in rows(batch, "ids", step=1)), p, rate)
+        if tokens:
+            sums = np.concatenate([a.ravel() for a in new.values()]).astype(np.float64) * tokens
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([tokens], pa.int64()), pa.array([sums.tobytes()], pa.binary())], ["part", "tokens", "sums"])
+
+    return learn
+
+
+def _added(table: pa.Table) -> pa.Table:
+    table = table.sort_by("part")
+    total = sum(np.frombuffer(x.as_py()) for x in table["sums"])
+    return pa.table({"part": pa.array([table["part"][0].as_py() // FAN_IN], pa.int64()), "tokens": pa.array([sum(table["tokens"].to_pylist())], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def fit(streams: DataFrame, p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Weights after EPOCHS rounds over all streams, starting from p."""
+    schema = "part long, tokens long, sums binary"
+    for epoch in range(EPOCHS):
+        sums = save(streams.mapInArrow(_learn(p, RATE * (1 - epoch / EPOCHS)), schema))
+        while sums.count() > 1:  # added FAN_IN at a time, down to one
+            sums = save(sums.groupBy(F.floor(F.col("part") / FAN_IN)).applyInArrow(_added, schema))
+        for row in sums.collect():  # of a fixed size
+            flat = np.frombuffer(row["sums"]) / row["tokens"]
+            cuts = np.cumsum([a.size for a in p.values()])[:-1]
+            p = {k: x.reshape(a.shape).astype(a.dtype) for (k, a), x in zip(p.items(), np.split(flat, cuts))}
+    return p
+
+
+def lm_scores(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows whose crc32(doc_id as text) mod 10 is not 0.  A null or
@@ -207,16 +286,7 @@ def lm_scores(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, sample: int = S
     known = {bytes(w): i for i, w in enumerate(top[0]["top_words"] if top else (), start=1)}
     rest_tokens, rest_distinct = tokens - ends - sum(top[0]["top_counts"] if top else ()), distinct - (ends > 0) - len(known)
 
-    picked = save(source.where("counted and doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = only_ids(source, picked, "doc_id").select("text")
-
-    def fit(table: pa.Table) -> pa.Table:
-        ids = [np.array([known.get(w, RARE) for w in byte_words(t)] + [0]) for t in table["text"].to_pylist()]
-        p = train(ids)
-        return pa.table({"name": list(p), "value": pa.array([a.tobytes() for a in p.values()], pa.binary())})
-
-    blank = _new(np.random.default_rng(0))
-    p = {r["name"]: np.frombuffer(r["value"], blank[r["name"]].dtype).reshape(blank[r["name"]].shape) for r in texts.groupBy(F.lit("all")).applyInArrow(fit, "name string, value binary").collect()} or blank  # of a fixed size
+    p = fit(save(source.where("counted").select("text").mapInArrow(_streams(known), "ids binary")), first_weights(np.array([ends, *(top[0]["top_counts"] if top else ())]), rest_tokens))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         replies = sorted(right.to_pylist(), key=lambda r: r["bucket"])
