@@ -2,6 +2,10 @@
 
 import corpus_pipeline
 from tests.llm.test_models import corpus
+from wordlake.llm.exact_dedup import drop_copies
+from wordlake.llm.near_dedup import drop_near_copies
+from wordlake.llm.secrets import mask_secrets
+from wordlake.llm.toxicity import drop_toxic
 
 
 def test_stages(spark, tmp_path):
@@ -26,3 +30,21 @@ def test_stages(spark, tmp_path):
     assert kept["secret_scan"][1002].endswith(" [SECRET]") and kept["secret_scan"].keys() == kept["near_dedup"].keys()
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.collect()} == set(kept["secret_scan"])
+
+
+def test_stages_tell_rows_apart_by_more_than_their_ids(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    table = lambda *rows: spark.createDataFrame([(i, t, "s", len(t or "")) for i, t in rows], "doc_id long, text string, source string, n_chars long")
+    of = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    # two identical rows of one id, copies with a null id, and different texts of one id
+    got = of(drop_copies(table((1, "a b"), (1, "a b"), (None, "a b"), (None, "c"), (None, "c"), (2, "d"), (2, "a b"))))
+    assert got == sorted([(1, "a b"), (None, "c"), (2, "d")], key=repr)
+    got = of(drop_near_copies(table((7, words), (7, words + " x"), (None, words + " y"), (7, "else"), (5, words), (None, "z z"), (None, None))))
+    assert got == sorted([(5, words), (7, "else"), (None, "z z"), (None, None)], key=repr)
+    got = of(mask_secrets(table((None, "token = abcdef123"), (3, "token = abcdef123 and"), (3, "see the token = abcdef123"), (3, "no"))))
+    assert got == sorted([(None, "[SECRET]"), (3, "[SECRET] and"), (3, "see the [SECRET]"), (3, "no")], key=repr)
+    rows, labels = corpus(seed=3, n=300)
+    bad = " ".join(["nasty naasty nastie"] * 8)
+    odd = [(None, bad), (900, bad), (900, rows[1][1])]
+    kept = of(drop_toxic(table(*[(i, t) for i, t, *_ in rows if i is not None], *odd), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
+    assert (900, rows[1][1]) in kept and not {(None, bad), (900, bad)} & set(kept)

@@ -45,6 +45,15 @@ def drop_saved(df: DataFrame) -> None:
             java.getFileSystem(context._jsc.hadoopConfiguration()).delete(java, True)
 
 
+#: The column of numbered().
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs, saved, with a number of each row's own, as ids may be null or repeated."""
+    return save(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """Rows of df whose id is in ids (null equals null): by broadcast when ids are few, else by a shuffled join."""
     ids = ids.select(F.col(column).alias("__id")).distinct()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, only_ids, parallelism, save
+from .common import ROW, columns_of, numbered, only_ids, parallelism, save
 
 #: Deleted before texts are compared.
 SPACES = " \t\n\x0b\x0c\r"
@@ -114,18 +114,20 @@ def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))], ["uid"])
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after deleting SPACES; of equal texts the row
     with the most code points in the original stays, then the smallest id.  A
     null text counts as empty.  A null id sorts after all others.  Of repeated
     rows with one id, one alone is kept.  An empty table gives an empty result.
-    Other columns of docs are not read.
+    Other columns of docs are not read.  row_col is a column of distinct numbers
+    by which the result tells rows apart, if given.
     """
-    source = columns_of(docs, id_col, text_col).toDF("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    uid, keys = (F.col("uid"), ["uid"]) if row_col else (F.monotonically_increasing_id().alias("uid"), [])
+    source = columns_of(docs, id_col, text_col, *([row_col] if row_col else [])).toDF("doc_id", "text", *keys).withColumn("text", F.coalesce("text", F.lit("")))
     normal = F.translate("text", SPACES, "")
-    digests = save(source.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.char_length("text").alias("length"), F.unhex(F.sha2(normal, 256)).alias("sha")))
+    digests = save(source.select(uid, "doc_id", F.char_length("text").alias("length"), F.unhex(F.sha2(normal, 256)).alias("sha")))
     rows = digests.count()
     bits = min(62, max(32, math.ceil(math.log2(rows + 2)) + 14))
     owners = max(parallelism(docs.sparkSession), rows // OWNER_ROWS + 1)
@@ -143,6 +145,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = save(groups.withColumn("text_sha256", F.lower(F.hex("sha"))).join(proven, "text_sha256").select("sha", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.row")).alias("keep_uid")))
     decided = suspects.join(groups, "sha").select("uid", "group_size", "keep_id", (F.col("uid") == F.col("keep_uid")).alias("kept"))
     return digests.join(decided, "uid", "left").select(
+        *([F.col("uid").alias(row_col)] if row_col else []),
         "doc_id",
         F.when(F.col("kept").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -153,5 +156,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup() keeps, all columns."""
-    gone = exact_dedup(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    table = numbered(docs)
+    gone = exact_dedup(table, row_col=ROW).where("not kept").select(ROW)
+    return table.join(gone, ROW, "left_anti").select(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, byte_words, columns_of, components, drop_saved, mix, only_ids, rows, save
+from .common import ROW, WordHashes, byte_words, columns_of, components, drop_saved, mix, numbered, only_ids, rows, save
 
 SHINGLE = 5
 CHUNKS, WIDTH = 15, 5
@@ -228,5 +228,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that near_duplicates() keeps, all columns."""
-    return docs.join(near_duplicates(docs).where("not kept").select("doc_id"), "doc_id", "left_anti")
+    """Of each component of near copies among the rows of docs the row with the smallest id (null last), all columns."""
+    table = numbered(docs)
+    found = near_duplicates(table, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id").join(table.select(ROW, "doc_id"), ROW)
+    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", ROW)).alias("best"))
+    return table.join(best.select(f"best.{ROW}"), ROW, "left_semi").select(*docs.columns)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, save
+from .common import ROW, columns_of, numbered, save
 
 #: Certain kinds: (kind, expression, group whose length counts, least length).
 BASE = (
@@ -59,18 +59,20 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, row_col: str | None = None) -> DataFrame:
     """One row per row of docs: uid, doc_id, base and found (arrays of span structs), ordered by start, then kind.
 
     base has the certain spans, found those and the linked weak ones.  A null
-    text counts as empty.  Rows are told apart by a number of their own, so
-    repeated rows and null ids stay as they are.  Other columns are not read.
+    text counts as empty.  Rows are told apart by a number of their own (that of
+    row_col, if given), so repeated rows and null ids stay as they are.  Other
+    columns are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    source = columns_of(docs, id_col, text_col).toDF("doc_id", "text")
+    uid, keys = (F.col("uid"), ["uid"]) if row_col else (F.monotonically_increasing_id().alias("uid"), [])
+    source = columns_of(docs, id_col, text_col, *([row_col] if row_col else [])).toDF("doc_id", "text", *keys)
     base = F.concat(*[_find(text, kind, pattern, group, least) for kind, pattern, group, least in BASE])
     weak = F.concat(*[_find(text, kind, pattern) for kind, pattern, _ in WEAK])
-    scanned = save(source.select(F.monotonically_increasing_id().alias("uid"), "doc_id", base.alias("base"), weak.alias("weak")))
+    scanned = save(source.select(uid, "doc_id", base.alias("base"), weak.alias("weak")))
 
     def parts(column: str) -> DataFrame:
         part = F.create_map(*[F.lit(x) for pair in PART.items() for x in pair])
@@ -108,7 +110,8 @@ def secret_digest(found: DataFrame) -> DataFrame:
 
 def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """docs with every found span of text replaced by mask (overlapping spans by one), all columns; n_chars follows the text."""
-    spans = find_secrets(docs).where(F.size("found") > 0).groupBy("doc_id").agg(F.flatten(F.collect_list("found")).alias("__spans"))
+    table = numbered(docs)
+    spans = find_secrets(table, row_col=ROW).where(F.size("found") > 0).select(F.col("uid").alias(ROW), F.col("found").alias("__spans"))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(state: Column, s: Column) -> Column:
@@ -116,7 +119,7 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         return F.struct(F.when(s["start"] >= state["at"], gap).otherwise(state["out"]).alias("out"), F.greatest(state["at"], s["end"]).alias("at"))
 
     done = F.aggregate(F.array_distinct(F.array_sort("__spans")), start, step, lambda s: F.concat(s["out"], F.col("text").substr((s["at"] + 1).cast("int"), F.length("text"))))
-    joined = docs.join(spans, "doc_id", "left").withColumn("text", F.when(F.col("__spans").isNotNull(), done).otherwise(F.col("text"))).drop("__spans")
+    joined = table.join(spans, ROW, "left").withColumn("text", F.when(F.col("__spans").isNotNull(), done).otherwise(F.col("text"))).drop("__spans")
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, crc_remainder, only_ids, rows, save
+from .common import ROW, columns_of, crc_remainder, numbered, only_ids, rows, save
 
 BUCKETS, DIM = 1 << 17, 8
 NGRAMS = (3, 4, 5, 6)
@@ -118,14 +118,16 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, per_label: int = P
     return only_ids(docs, sample, "doc_id").join(F.broadcast(sample), "doc_id").select("label", "text"), {c: n / total for c, n in counts.items()}
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, threshold: float = THRESHOLD) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, threshold: float = THRESHOLD, row_col: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted.
 
     The score comes from the text alone; a null, empty or wordless text scores
     as the labels' share.  Without labelled rows every score is 0.  Repeated
-    rows and null ids are scored like any other; other columns are not read.
+    rows and null ids are scored like any other; other columns are not read, but row_col, if
+    given, comes first in the result.
     """
-    source = columns_of(docs, "doc_id", "text")
+    keys = [row_col] if row_col else []
+    source = columns_of(docs, *keys, "doc_id", "text")
     sample, priors = labelled(source, labels, "toxic", per_label)
 
     def fit(table: pa.Table) -> pa.Table:
@@ -146,14 +148,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
                 words = _WORD.findall((text or "").lower())
                 logit = sum(map(worth.__getitem__, words)) / len(words) + bias if words else None
                 out.append(share if logit is None else float(1 / (1 + np.exp(-np.clip(logit, -700, 700)))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*keys, "doc_id")), pa.array(out, pa.float64())], [*keys, "doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = source.mapInArrow(score, f"doc_id {kind}, score double")
-    return scored.select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = source.mapInArrow(score, "".join(f"{c} long, " for c in keys) + f"doc_id {kind}, score double")
+    return scored.select(*keys, "doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, all columns."""
-    gone = toxicity_scores(docs, labels).where("predicted = 1").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    table = numbered(docs)
+    gone = toxicity_scores(table, labels, row_col=ROW).where("predicted = 1").select(ROW)
+    return table.join(gone, ROW, "left_anti").select(*docs.columns)
