@@ -59,6 +59,19 @@ def test_misspellings_share_subwords():
     assert len(set(toxicity.subwords("disgusting")) & set(toxicity.subwords("disgustting"))) > 10
 
 
+def test_long_words_are_read_whole(monkeypatch):
+    long, plain = "ab" * 100 + "nasty", "ab" * 100 + "plain"
+    assert set(toxicity.subwords("nasty")[2:-2]) & (set(toxicity.subwords(long)) - set(toxicity.subwords(plain)))
+    each = np.random.default_rng(2).normal(size=toxicity.BUCKETS).astype(np.float32)
+    want = each[toxicity.subwords(long)].mean()
+    assert want != each[toxicity.subwords(plain)].mean()
+    monkeypatch.setattr(toxicity, "SLICE", 7)
+    at, share = toxicity._shares(long)
+    assert len(set(at)) == len(at) and abs(share @ each[at] - want) < 1e-5 and abs(toxicity._mean(long, each) - want) < 1e-5
+    known = toxicity._Kept(toxicity._shares)
+    assert (known[long][0] == at).all() and long not in known and known["nasty"] and "nasty" in known
+
+
 def test_lm_scores(tables):
     docs, _ = tables
     got = {r["doc_id"]: r for r in lm.lm_scores(docs, block_tokens=3000).collect()}

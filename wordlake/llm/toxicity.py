@@ -27,14 +27,42 @@ NGRAMS = (3, 4, 5, 6)
 PER_LABEL = 3000
 EPOCHS, BATCH, RATE, SCALE = 15, 64, 0.1, 100.0
 THRESHOLD = 0.3
+#: Longer words are not kept, and their n-grams are summed SLICE starts at a time.
+LONG, SLICE = 64, 1 << 16
 _WORD = re.compile(r"\w+")
 
 
+def _slices(word: str) -> Iterator[np.ndarray]:
+    """Buckets of the whole word and of all its n-grams, with marks at both ends, a bounded number at a time."""
+    marked = f"<{word}>"
+    for a in range(0, len(marked), SLICE):
+        grams = [marked] * (a == 0) + [marked[i : i + n] for n in NGRAMS for i in range(a, min(a + SLICE, len(marked) - n + 1))]
+        yield np.array([zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams], np.int64)
+
+
 def subwords(word: str) -> np.ndarray:
     """Buckets of the whole word and of its n-grams, with marks at both ends."""
-    marked = f"<{word[:64]}>"
-    grams = [marked] + [marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]
-    return np.array([zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams], np.int64)
+    return np.concatenate(list(_slices(word)))
+
+
+def _shares(word: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a word and the share of the word's mean that each has; of a long word every bucket once."""
+    if len(word) <= LONG:
+        at = subwords(word)
+        return at, np.full(len(at), 1 / len(at))
+    counts = sum(np.bincount(x, minlength=BUCKETS) for x in _slices(word))
+    at = np.flatnonzero(counts)
+    return at, counts[at] / counts.sum()
+
+
+def _mean(word: str, each: np.ndarray) -> float:
+    """The mean of each over the word's buckets."""
+    if len(word) <= LONG:
+        return float(each[subwords(word)].mean())
+    total, n = 0.0, 0
+    for x in _slices(word):
+        total, n = total + float(each[x].sum(dtype=np.float64)), n + len(x)
+    return total / n
 
 
 class _Kept(dict):
@@ -44,20 +72,21 @@ class _Kept(dict):
     def __missing__(self, word):
         if len(self) > 300_000:
             self.clear()
-        value = self[word] = self.make(word)
+        value = self.make(word)
+        if len(word) <= LONG:
+            self[word] = value
         return value
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = _Kept(subwords)
+    known = _Kept(_shares)
     for batch in batches:
         ids, weights = [], []
         for (text,) in rows(batch, "text"):
             words = _WORD.findall((text or "").lower())
             each = [(known[word], n) for word, n in Counter(words).items()]
-            sizes = [len(b) for b, _ in each]
-            at, where = np.unique(np.concatenate([np.zeros(0, np.int64), *(b for b, _ in each)]), return_inverse=True)
-            sums = np.bincount(where, np.repeat([n / (len(words) * len(b)) for b, n in each], sizes), len(at))
+            at, where = np.unique(np.concatenate([np.zeros(0, np.int64), *(b for (b, _), _ in each)]), return_inverse=True)
+            sums = np.bincount(where, np.concatenate([np.zeros(0), *(share * (n / len(words)) for (_, share), n in each)]), len(at))
             ids.append(at.astype("<u4").tobytes()), weights.append(sums.astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(ids, pa.binary()), pa.array(weights, pa.binary())], ["label", "ids", "weights"])
 
@@ -141,7 +170,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
     share = priors.get(1, 0.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worth = _Kept(lambda word: float(each[subwords(word)].mean()))
+        worth = _Kept(lambda word: _mean(word, each))
         for batch in batches:
             out = []
             for (text,) in rows(batch, "text"):
