@@ -107,6 +107,15 @@ def test_secret_scan(spark):
     assert len(got[3]["spans"].split(",")) == 3 and got[4]["spans"] == ""
 
 
+def test_weak_spans_that_contain_certain_ones(spark):
+    url, bare = "https://api.example.com/v1?token=abcdef123&x=1", "Zm9vQ" + "0123456789abcdef01234567" + "XyZ"
+    table = docs(spark, [f"client_id=web-client-1 {url} .", f"client_id=web-client-1 {bare} ."])
+    spans = {r["doc_id"]: [x.split(":") for x in r["spans"].split(",")] for r in secrets.secret_digest(secrets.find_secrets(table)).collect()}
+    assert ["endpoint", "23", str(23 + len(url))] in spans[0] and [k for k, *_ in spans[0]] == ["id", "endpoint", "assign"]
+    assert ["bare", "23", str(23 + len(bare))] in spans[1] and [k for k, *_ in spans[1]] == ["id", "bare", "hex"]
+    assert {r["text"] for r in secrets.mask_secrets(table).collect()} == {"[SECRET] [SECRET] ."}
+
+
 def test_mask_secrets(spark):
     table = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(SECRETS)], "doc_id long, text string, n_chars long")
     got = {r["doc_id"]: r for r in secrets.mask_secrets(table).collect()}

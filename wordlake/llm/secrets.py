@@ -85,7 +85,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     loose = windows(parts("weak"))
     known = certain.select("uid", F.col("span.start").alias("b0"), F.col("span.end").alias("b1"), F.explode(F.sequence(F.floor(F.col("span.start") / scope), F.floor(F.col("span.end") / scope))).alias("window"))
     edge = F.explode(F.array_distinct(F.array(F.floor(F.col("span.start") / scope), F.floor((F.col("span.end") - 1) / scope)))).alias("edge")
-    inside = loose.select("uid", "span", edge).join(known.withColumnRenamed("window", "edge"), ["uid", "edge"]).where("span.start < b1 and b0 < span.end").select("uid", "span").distinct()
+    inside = loose.select("uid", "span", edge).join(known.withColumnRenamed("window", "edge"), ["uid", "edge"]).where("b0 <= span.start and span.end <= b1").select("uid", "span").distinct()
     loose = loose.join(inside, ["uid", "span"], "left_anti")
 
     every = certain.unionByName(loose.drop("window"))
