@@ -169,6 +169,35 @@ def test_packing(spark):
     assert packing.pack_documents(docs(spark, [])).count() == 0
 
 
+def test_packing_ids_are_those_of_tokenizers(monkeypatch):
+    r = random.Random(12)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    encode = packing.token_bytes(path)
+    signs = [chr(i) for i in range(0x250)] + list("٣中文한ไ😀\u200d\u200b\u3000\u1680\u2028\u0300²½Ⅷ_'") + ["  ", "\n", " don't", "'LL", "<|endoftext|>"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    texts += [" " * 20_000, "a" + "\n" * 5000 + "b  ", "x" * 50_000, "中" * 9000, " ".join(texts)]
+    monkeypatch.setattr(packing, "SLICE", 1000)
+    assert len(packing.slices(texts[-1])) > 20 and "".join(packing.slices(texts[-1])) == texts[-1]
+    for t in texts:
+        assert encode(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("choose", ["residual", "dot"])
+def test_packing_keeps_every_capacity_on_documents(spark, choose):
+    r = random.Random(6)
+    ids = [None, 3, 3, *range(10, 400)]
+    table = docs(spark, [" ".join(["alpha"] * r.choice([0, 1, 2, 9, 30, 90])) for _ in ids], ids)
+    bins = defaultdict(list)
+    rows = packing.pack_documents(table, limits=packing.Limits(tokens=64, documents=4, attention=4096 + 3, weights=(1.0, 1.0, 1.0), choose=choose)).collect()
+    for x in rows:
+        bins[x["sequence_id"]].append(x["length"])
+    assert {x["doc_id"] for x in rows} == set(ids) and sum(x["doc_id"] == 3 and x["piece"] == 0 for x in rows) == 2
+    assert all(sum(b) <= 64 and len(b) <= 4 and sum(n * n for n in b) <= 4099 for b in bins.values())
+    assert max(map(len, bins.values())) == 4
+
+
 @pytest.mark.parametrize("choose", ["residual", "dot"])
 def test_plan_keeps_every_capacity(choose):
     r = random.Random(8)

@@ -8,6 +8,9 @@ bins that the plan gives to that number.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -91,22 +94,53 @@ def plan(counts: dict[int, int], limits: Limits = Limits()) -> list[tuple[int, i
     return runs
 
 
+#: Texts of more characters are encoded in slices.
+SLICE = 1 << 18
+#: A place between two pre-tokens, whatever stands around it: a space after a letter or digit.
+_GAP = re.compile(r"(?<=[A-Za-z0-9])(?= )")
+#: White space too long for the pattern's own library, which overflows its stack on some thousands of characters.
+_BLANK = re.compile(r"\s{500}")
+
+
+def slices(text: str) -> list[str]:
+    """text in pieces whose encodings, end to end, are that of text; one piece where no gap is found."""
+    out, a = [], 0
+    while len(text) - a > SLICE and (gap := _GAP.search(text, a + SLICE)):
+        out.append(text[a : gap.start()])
+        a = gap.start()
+    return [*out, text[a:]]
+
+
+def file_ranks(path: str) -> dict[bytes, int]:
+    """The tokens of a byte-level tokenizers file as bytes, with their ids, which are in the order of the merges."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256 on
+    bytes_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    ranks = {bytes(map(bytes_of.__getitem__, w)): i for w, i in model["vocab"].items() if all(c in bytes_of for c in w)}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    order = [model["vocab"]["".join(m)] for m in merges]
+    if order != sorted(order):
+        raise ValueError("the ids are not in the order of the merges")
+    return ranks
+
+
 def token_bytes(path: str):
-    """A function from text to its ids as little-endian 32-bit bytes, by the tokenizers file; each distinct pre-token is encoded once and kept."""
-    from tokenizers import Tokenizer
+    """A function from a text to its ids, by the tokenizers file, as little-endian 32-bit bytes; the strings of special tokens are ordinary text.
+
+    The file's vocabulary runs in the faster of the two libraries; the tests hold its ids against the other's.
+    """
+    import public_tokenizers
+    import tiktoken
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=file_ranks(path), special_tokens={})
 
-    class Known(dict):
-        def __missing__(self, word: str) -> bytes:
-            if len(self) > 400_000:
-                self.clear()
-            value = self[word] = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-            return value
+    def encode(text: str) -> bytes:
+        if _BLANK.search(text):
+            return b"".join(array("I", encoding._encode_single_piece(w)).tobytes() for w in pre_tokens(text))
+        return b"".join(array("I", encoding.encode_ordinary(s)).tobytes() for s in slices(text))
 
-    known = Known()
-    return lambda text: b"".join(map(known.__getitem__, pre_tokens(text)))
+    return encode
 
 
 _ENCODERS: dict[str, object] = {}
@@ -120,7 +154,7 @@ def _pieces(path: str | None, capacity: int, end: int, keep_ids: bool):
 
         at = path or public_tokenizers.path(VOCABULARY)
         encode = _ENCODERS.get(at) or _ENCODERS.setdefault(at, token_bytes(at))
-        tail = np.array([end], "<u4").tobytes()
+        tail = array("I", [end]).tobytes()
         for batch in batches:
             doc, piece, start, length, crc, kept = [], [], [], [], [], []
             for d, text in rows(batch, "doc_id", "text"):
@@ -141,8 +175,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     A document is its ids and the end id; a null or empty text is the end id
-    alone.  Only documents longer than limits.tokens are cut.  Repeated rows and
-    null ids are packed like any other.  Other columns are not read.  An empty
+    alone; the string of a special token is ordinary text.  Only documents longer
+    than limits.tokens are cut.  Repeated rows and null ids are packed like any other.  Other columns are not read.  An empty
     table gives an empty result.
     """
     spark = docs.sparkSession
@@ -156,11 +190,13 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # at most a few runs for each of at most limits.tokens lengths, whatever the input
     lookup = F.broadcast(spark.createDataFrame(runs, schema))
 
-    # the number of a piece among those of its length: a running number within a bucket, and the counts of the buckets before
+    # the number of a piece among those of its length: a running number within a bucket, the counts of the buckets
+    # before it in its shelf, and those of the shelves before
     buckets = pieces.withColumn("bucket", F.shiftright("uid", 12))
-    sizes = buckets.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.select("length", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
+    sizes = buckets.groupBy("length", "bucket").agg(F.count("*").alias("n")).withColumn("shelf", F.shiftright("bucket", 12))
+    before = lambda *keys, by: F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shelves = sizes.groupBy("length", "shelf").agg(F.sum("n").alias("n")).select("length", "shelf", before("length", by="shelf").alias("ahead"))
+    sizes = sizes.select("length", "shelf", "bucket", before("length", "shelf", by="bucket").alias("before")).join(shelves, ["length", "shelf"]).select("length", "bucket", (F.col("before") + F.col("ahead")).alias("before"))
     number = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("uid")) - 1
     ranked = buckets.withColumn("number", number).join(sizes, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("number"))
     placed = ranked.join(lookup, (F.col("length") == F.col("r_length")) & (F.col("rank") >= F.col("r_rank")) & (F.col("rank") < F.col("r_rank") + F.col("r_pieces")))
