@@ -90,19 +90,52 @@ def test_lm_scores(tables):
     assert lm.lm_scores(docs.limit(0)).count() == 0
 
 
+def plain_log_likelihood(document, p):
+    """The same network, one token at a time in double precision."""
+    p = {k: a.astype(float) for k, a in p.items()}
+    h, last, total, n = np.zeros(lm.STATE), lm.START, 0.0, lm.STATE
+    share = lambda x, i: x[i] - np.log(np.exp(x).sum())
+    for y in document:
+        x = p["e"][last] @ p["wx"] + p["b"]
+        z, r = (1 / (1 + np.exp(-(x[a : a + n] + h @ p["u"][:, a : a + n]))) for a in (0, n))
+        new = np.tanh(x[2 * n :] + (r * h) @ p["u"][:, 2 * n :])
+        h = (1 - z) * new + z * h
+        c = lm.CLASSES if y == lm.RARE else y // lm.PER
+        total += share(h @ p["wc"] + p["bc"], c)
+        if c < lm.CLASSES:
+            total += share(h @ p["ww"][c] + p["bw"][c], y % lm.PER)
+        last = y
+    return total
+
+
 def test_lm_is_a_distribution_and_carries_state():
     r = np.random.default_rng(0)
     p = lm._new(r)
-    h = r.normal(size=(1, lm.STATE)).astype(np.float32)
+    h = r.normal(size=(lm.STATE, 1)).astype(np.float32)
     every = np.arange(lm.RARE + 1)
-    assert abs(np.exp(lm._outputs(np.repeat(h, len(every), 0), every, p)).sum() - 1) < 1e-3
-    long = r.integers(1, lm.RARE, 400)
-    h, total, last = np.zeros((1, lm.STATE), np.float32), 0.0, lm.START
-    for y in long:
-        h = lm._step((p["e"][[last]] @ p["wx"] + p["b"]), h, p["u"])[0]
-        total += lm._outputs(h, np.array([y]), p)[0]
-        last = y
-    assert abs(lm.log_likelihoods([long[:3], long], p)[1] - total) < 1e-2 * abs(total)
+    assert abs(np.exp(lm._outputs(np.repeat(h, len(every), 1), every, p)).sum() - 1) < 1e-3
+    documents = [r.integers(1, lm.RARE + 1, n) for n in (3, 400, 0, 17, 16)]
+    documents = [np.append(d, 0) for d in documents]
+    got = lm.log_likelihoods(documents, p)
+    for d, x in zip(documents, got):
+        assert abs(plain_log_likelihood(d, p) - x) < 1e-4 * abs(x)
+
+
+def test_lm_gradients_are_those_of_the_log_likelihood():
+    r = np.random.default_rng(4)
+    p = {k: a + r.normal(0, 0.2, a.shape).astype(np.float32) for k, a in lm._new(r).items()}
+    y = r.choice([0, 1, 5, 700, 2000, lm.RARE], (3, 9))
+    y[:, -1] = 0
+    x = np.where(np.roll(y, 1, 1) == 0, lm.START, np.roll(y, 1, 1))
+    g, _ = lm._gradients(x, y, np.ones(y.shape, bool), np.zeros((lm.STATE, 3), np.float32), p)
+    cut = lambda row: np.split(row, np.flatnonzero(row == 0)[:-1] + 1)
+    loss = lambda q: -sum(plain_log_likelihood(d, q) for row in y for d in cut(row))
+    for name, a in p.items():
+        for at in sorted(zip(*np.unravel_index(np.argsort(-np.abs(g[name]).ravel())[:4], a.shape))):
+            more, less = ({k: b.astype(float) for k, b in p.items()} for _ in range(2))
+            more[name][at] += 1e-4
+            less[name][at] -= 1e-4
+            assert abs((loss(more) - loss(less)) / 2e-4 - g[name][at]) < 1e-2 * max(0.1, abs(g[name][at])), name
 
 
 def test_lm_learns_from_every_training_document(spark):

@@ -12,13 +12,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import rows
+from .common import parallelism, rows, save
 
 #: Tokens after which a block ends.
 BLOCK_TOKENS = 1_500_000
+#: Bytes of text for which there is one bucket; a bucket's task holds their distinct words.
+BUCKET_BYTES = 256 << 20
 WORDS = "block long, bucket int, n int, words binary, counts binary"
-PLACES = "block long, doc_ids array<long>, counts array<long>, words long, numbers binary, places binary"
+PLACES = "block long, doc_ids array<long>, sizes array<long>, counted array<boolean>, distinct long, numbers binary, places binary"
+#: Both kinds of rows in one table.
+BOTH = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("words", pa.binary()), ("counts", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("counted", pa.list_(pa.bool_())), ("distinct", pa.int64()), ("numbers", pa.binary()), ("places", pa.binary())])
 
 
 class Numbers(dict):
@@ -87,52 +92,69 @@ class Block:
         import xxhash
 
         words = list(self.known)
-        words = [w.encode() if isinstance(w, str) else w for w in (words[i] for i in order)]
-        hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-        by = sorted(range(len(words)), key=lambda i: (hashed[i], words[i]))
+        words = [w.encode() if isinstance(w, str) else w for w in (words[i] for i in order.tolist())]
+        by = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(buckets)
+        by = by[np.argsort(hashed[by], kind="stable")]
         place = np.empty(len(words), np.uint32)
         place[by] = np.arange(len(words), dtype=np.uint32)
         counts = np.bincount(at[np.repeat(self.counted, self.counts)] if len(at) else at, minlength=len(words))[by]
-        bounds = np.searchsorted(hashed[by], np.arange(buckets + 1))
-        return [(b, [words[i] for i in by[x:y]], counts[x:y]) for b, (x, y) in enumerate(zip(bounds, bounds[1:])) if y > x], place
+        words = [words[i] for i in by.tolist()]
+        bounds = np.searchsorted(hashed[by], np.arange(buckets + 1, dtype=np.uint64)).tolist()
+        return [(b, words[x:y], counts[x:y]) for b, (x, y) in enumerate(zip(bounds, bounds[1:])) if y > x], place
 
 
-def _made(tokenize: Callable[[str], list], tokens: int, buckets: int, words: bool):
+def _made(tokenize: Callable[[str], list], tokens: int, buckets: int, words: bool, places: bool):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         from pyspark import TaskContext
 
         part, serial = TaskContext.get().partitionId(), 0
 
-        def flush(block: Block) -> pa.RecordBatch:
+        def flush(block: Block) -> Iterator[pa.RecordBatch]:
             at, order = block.numbers()
             # blocks that were cut differently have different names, and so are never joined
             name = xxhash.xxh3_64_intdigest(at.tobytes() + repr((part, serial, block.ids)).encode()) >> 1
             sent, place = block.messages(at, order, buckets)
             if words:
-                columns = [pa.array([name] * len(sent), pa.int64()), pa.array([b for b, _, _ in sent], pa.int32()), pa.array([len(w) for _, w, _ in sent], pa.int32()), pa.array([listed(w) for _, w, _ in sent], pa.binary()), pa.array([squeezed(c) for _, _, c in sent], pa.binary())]
-                return pa.RecordBatch.from_arrays(columns, ["block", "bucket", "n", "words", "counts"])
-            columns = [pa.array([name]), pa.array([block.ids], pa.list_(pa.int64())), pa.array([block.counts], pa.list_(pa.int64())), pa.array([len(place)], pa.int64()), pa.array([squeezed(at)], pa.binary()), pa.array([squeezed(place)], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counts", "words", "numbers", "places"])
+                yield pa.RecordBatch.from_pydict({"block": pa.array([name] * len(sent), pa.int64()), "bucket": pa.array([b for b, _, _ in sent], pa.int32()), "n": pa.array([len(w) for _, w, _ in sent], pa.int32()), "words": pa.array([listed(w) for _, w, _ in sent], pa.binary()), "counts": pa.array([squeezed(c) for _, _, c in sent], pa.binary())})
+            if places:
+                yield pa.RecordBatch.from_pydict({"block": pa.array([name]), "doc_ids": pa.array([block.ids], pa.list_(pa.int64())), "sizes": pa.array([block.counts], pa.list_(pa.int64())), "counted": pa.array([block.counted], pa.list_(pa.bool_())), "distinct": pa.array([len(place)], pa.int64()), "numbers": pa.array([squeezed(at)], pa.binary()), "places": pa.array([squeezed(place)], pa.binary())})
+
+        def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+            if not (words and places):
+                return batch
+            return pa.RecordBatch.from_arrays([batch.column(f.name) if f.name in batch.schema.names else pa.nulls(batch.num_rows, f.type) for f in BOTH], schema=BOTH)
 
         block = Block(tokenize)
         for batch in batches:
             for doc_id, text, counted in rows(batch, "doc_id", "text", "counted"):
                 block.add(doc_id, text, counted)
                 if block.size >= tokens:
-                    yield flush(block)
+                    yield from map(whole, flush(block))
                     block, serial = Block(tokenize), serial + 1
         if block.ids:
-            yield flush(block)
+            yield from map(whole, flush(block))
 
     return made
 
 
-def in_blocks(source: DataFrame, tokenize: Callable[[str], list], buckets: int, tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
-    """Of source (doc_id, text, counted): the blocks' messages (WORDS) and the blocks' documents (PLACES).
+def text_bytes(source: DataFrame) -> int:
+    """Bytes of all texts, which tell how many buckets keep a bucket's words within a task."""
+    return source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def in_blocks(source: DataFrame, tokenize: Callable[[str], list], tokens: int = BLOCK_TOKENS, once: bool = True) -> tuple[DataFrame, DataFrame, int]:
+    """Of source (doc_id, text, counted): the blocks' messages (WORDS), the blocks' documents (PLACES), and the number of buckets.
 
-    source is read once for either, and must give the same rows in the same
+    The buckets grow with the bytes of text.  With once, texts are tokenised
+    once, into one saved table; without, they are tokenised for either result,
+    which takes less disk, and source must give the same rows in the same
     partitions each time, as tables do.
     """
     source = source.select("doc_id", "text", "counted")
-    return source.mapInArrow(_made(tokenize, tokens, buckets, True), WORDS), source.mapInArrow(_made(tokenize, tokens, buckets, False), PLACES)
+    buckets = max(parallelism(source.sparkSession), -(-text_bytes(source) // BUCKET_BYTES))
+    if not once:
+        return source.mapInArrow(_made(tokenize, tokens, buckets, True, False), WORDS), source.mapInArrow(_made(tokenize, tokens, buckets, False, True), PLACES), buckets
+    both = save(source.mapInArrow(_made(tokenize, tokens, buckets, True, True), f"{WORDS}, {PLACES.split(', ', 1)[1]}"))
+    return both.where("words is not null").select("block", "bucket", "n", "words", "counts"), both.where("numbers is not null").select("block", "doc_ids", "sizes", "counted", "distinct", "numbers", "places"), buckets

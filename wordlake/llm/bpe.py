@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_TOKENS, in_blocks, squeezed, unlisted, unsqueezed
-from .common import columns_of, gathered, parallelism, pre_tokens, rows
+from .common import columns_of, gathered, pre_tokens, rows
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -41,7 +41,7 @@ def _encode(path: str | None):
 
         class Known(dict):
             def __missing__(self, word: bytes) -> list[int]:
-                value = self[word] = encoding.encode_ordinary(word.decode())
+                value = self[word] = encoding._encode_single_piece(word)
                 return value
 
         known, lengths, ids = Known(), [], []
@@ -61,12 +61,12 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     flat = np.concatenate([np.zeros(0, np.uint32)] + [unsqueezed(r["ids"]) for r in replies])
     docs, counts, out = [], [], []
     for row in left.to_pylist():
-        if row["words"] != len(lengths):
+        if row["distinct"] != len(lengths):
             raise RuntimeError("the words of a block are incomplete")
         places = unsqueezed(row["places"])
         starts, sizes = (np.cumsum(lengths) - lengths)[places], lengths[places]
         numbers, a = unsqueezed(row["numbers"]), 0
-        for doc_id, n in zip(row["doc_ids"], row["counts"]):
+        for doc_id, n in zip(row["doc_ids"], row["sizes"]):
             own = numbers[a : a + n]
             ids = gathered(flat, starts[own], sizes[own])
             docs.append(doc_id), counts.append(len(ids)), out.append(ids.astype("<u4").tobytes())
@@ -83,8 +83,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     and a difference fails the job.  Other columns are not read.
     """
     source = columns_of(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    buckets = parallelism(docs.sparkSession)
-    words, placed = in_blocks(source.withColumn("counted", F.lit(True)), pre_tokens, buckets, block_tokens)
+    words, placed, _ = in_blocks(source.withColumn("counted", F.lit(True)), pre_tokens, block_tokens, once=False)
     ids = words.drop("counts").groupBy("bucket").applyInArrow(_encode(path), "block long, bucket int, lengths binary, ids binary")
     return placed.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
