@@ -74,7 +74,7 @@ def test_long_words_are_read_whole(monkeypatch):
 
 def test_lm_scores(tables):
     docs, _ = tables
-    got = {r["doc_id"]: r for r in lm.lm_scores(docs, block_tokens=3000).collect()}
+    got = {r["doc_id"]: r for r in lm.lm_scores(docs, block_chars=20_000).collect()}
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     crc = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10
     counts = Counter(w for i, t in rows if crc(i) for w in [*byte_words(t), "end"])

@@ -222,7 +222,7 @@ def test_byte_bpe(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
     want = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     table = docs(spark, texts, [None if i == 3 else i for i in range(len(texts))]).repartition(3).checkpoint()
-    got = {x["doc_id"]: x for x in bpe.decode(bpe.encode(table, block_tokens=500)).collect()}
+    got = {x["doc_id"]: x for x in bpe.decode(bpe.encode(table, block_chars=2000)).collect()}
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
         x = got[None if i == 3 else i]

@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_TOKENS, in_blocks, squeezed, unlisted, unsqueezed
-from .common import columns_of, gathered, pre_tokens, rows
+from .blocks import BLOCK_CHARS, in_blocks, squeezed, unlisted, unsqueezed
+from .common import columns_of, gathered, pre_token_array, rows
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Ids decoded at a time.
+SLICE = 1 << 20
 
 
 def read_ranks(path: str | None) -> dict[bytes, int]:
@@ -74,7 +76,7 @@ def _assemble(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(docs, pa.int64()), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(out, pa.binary())})
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids (little-endian unsigned 32-bit).
 
     A null or empty text has no tokens.  Repeated rows and null ids stay as they
@@ -83,7 +85,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     and a difference fails the job.  Other columns are not read.
     """
     source = columns_of(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    words, placed, _ = in_blocks(source.withColumn("counted", F.lit(True)), pre_tokens, block_tokens, once=False)
+    words, placed, _ = in_blocks(source.withColumn("counted", F.lit(True)), pre_token_array, block_chars, once=False)
     ids = words.drop("counts").groupBy("bucket").applyInArrow(_encode(path), "block long, bucket int, lengths binary, ids binary")
     return placed.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_assemble, "doc_id long, n_tokens long, ids binary")
 
@@ -91,9 +93,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 def _decode(path: str | None):
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table: dict[int, bytes] = {rank: token for token, rank in read_ranks(path).items()}
-        tokens = [table.get(i) for i in range(max(table) + 1)]
+        tokens = [table.get(i, b"") for i in range(max(table) + 1)]
+        flat, lengths = np.frombuffer(b"".join(tokens), np.uint8), np.fromiter(map(len, tokens), np.int32, len(tokens))
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
         for batch in batches:
-            data = [b"".join([tokens[i] for i in np.frombuffer(x, "<u4").tolist()]) for (x,) in rows(batch, "ids")]
+            ids = (np.frombuffer(x, "<u4") for (x,) in rows(batch, "ids"))
+            data = [b"".join(gathered(flat, starts[i], lengths[i]).tobytes() for i in np.split(x, range(SLICE, len(x), SLICE))) for x in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "bytes"])
 
     return decoded

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,11 +126,6 @@ def components(edges: DataFrame) -> DataFrame:
     return label if label is not None else both.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-#: Characters for which Python's own classes agree with the letter, number and space classes of the pre-token pattern.
-_PLAIN = re.compile(r"[^\t-\r\x20-\x7eÀ-ÖØ-öø-ɏ¡«»¿–—‘-”…]")
-_PLAIN_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-
-
 @lru_cache(1)
 def _any_tokens():
     import public_tokenizers
@@ -140,9 +135,95 @@ def _any_tokens():
     return regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+#: Kinds of characters to the pre-token pattern: white space, letter, number, other; texts with characters of no kind here go by the pattern itself.
+SPACE, LETTER, NUMBER, OTHER, STRANGE = range(5)
+_PLAIN_CHARS = [*range(9, 14), *range(0x20, 0x7F), *range(0xC0, 0x250), *map(ord, "¡«»¿–—‘’“”…")]
+_KINDS = np.full(0x2100, STRANGE, np.uint8)
+_KINDS[_PLAIN_CHARS] = [SPACE if chr(i).isspace() else LETTER if chr(i).isalpha() else NUMBER if chr(i).isdigit() else OTHER for i in _PLAIN_CHARS]
+#: What may follow an apostrophe in a token of its own, by its first letter: the second letter, if any.
+_AFTER_APOSTROPHE = {"s": "", "t": "", "m": "", "d": "", "r": "e", "v": "e", "l": "l"}
+
+
+def _token_starts(c: np.ndarray, kind: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the tokens of plain texts start; c: the code points of all texts, kind: theirs, first: where a text starts."""
+    start = first.copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    # the last of some white space before a word stands alone, or, if a space, with the word
+    last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & ~first[1:])
+    start[last] = True
+    start[last[c[last] == 32] + 1] = False
+    quote = np.flatnonzero((c == 39) & start)
+    for one, two in _AFTER_APOSTROPHE.items():
+        size = 1 + len(two)
+        at = quote[quote + size < len(c)]
+        at = at[(c[at + 1] == ord(one)) & ~first[at + 1]]
+        if two:
+            at = at[(c[at + 2] == ord(two)) & ~first[at + 2]]
+        start[at + 1] = False
+        after = at + 1 + size
+        after = after[after < len(c)]
+        start[after[(kind[after] == LETTER) | first[after]]] = True
+    return start
+
+
+def sliced(data: bytes, starts: np.ndarray) -> pa.Array:
+    """data cut at starts (the first is 0), as an Arrow array without copies."""
+    offsets = np.append(starts, len(data)).astype(np.int32 if len(data) < 1 << 31 else np.int64)
+    return pa.Array.from_buffers(pa.binary() if offsets.dtype == np.int32 else pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def pre_tokens(text: str) -> list[str]:
-    """The matches of public_tokenizers.PATTERN in text, by a faster equal pattern where the text has plain characters only."""
-    return (_any_tokens() if _PLAIN.search(text) else _PLAIN_TOKENS).findall(text)
+    """The matches of public_tokenizers.PATTERN in text."""
+    return _any_tokens().findall(text)
+
+
+def pre_token_array(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The matches of public_tokenizers.PATTERN in each text, in UTF-8, end to end, and their numbers."""
+    sizes = np.zeros(len(texts), np.int64)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    c = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    kind = _KINDS[np.minimum(c, len(_KINDS) - 1)]
+    ends = np.cumsum(lengths)
+    strange = np.diff(np.append(0, np.cumsum(kind == STRANGE))[np.append(0, ends)]) > 0
+    if strange.any():
+        keep = np.repeat(~strange, lengths)
+        c, kind = c[keep], kind[keep]
+    own = np.flatnonzero(~strange & (lengths > 0))
+    first = np.zeros(len(c), bool)
+    begins = np.cumsum(lengths[own]) - lengths[own]
+    first[begins] = True
+    start = _token_starts(c, kind, first) if len(c) else first
+    if len(own):
+        sizes[own] = np.add.reduceat(start, begins, dtype=np.int64)
+    places = np.cumsum((c > 0x7F).astype(np.int32) + (c > 0x7FF), dtype=np.int64)  # further bytes, up to here
+    at = np.flatnonzero(start)
+    plain = sliced("".join(texts[i] for i in own.tolist()).encode(), at + np.where(at > 0, places[at - 1], 0) if len(at) else at)
+    if not strange.any():
+        return plain, sizes
+    odd = [[w.encode() for w in pre_tokens(texts[i])] for i in np.flatnonzero(strange).tolist()]
+    sizes[strange] = list(map(len, odd))
+    every = pa.concat_arrays([plain.cast(pa.large_binary()), pa.array([w for x in odd for w in x], pa.large_binary())])
+    # back to the order of the texts
+    group = np.argsort(strange, kind="stable")
+    starts = np.empty(len(texts), np.int64)
+    starts[group] = np.cumsum(sizes[group]) - sizes[group]
+    return every.take(pa.array(gathered(np.arange(len(every)), starts, sizes))), sizes
+
+
+_BLANKS = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def word_array(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """byte_words() of each text, end to end, and their numbers."""
+    each = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" ".join([*each, b""]).translate(LOWER), np.uint8)
+    blank = _BLANKS[data]
+    start = ~blank
+    start[1:] &= blank[:-1]
+    ends = np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) + 1)
+    sizes = np.diff(np.append(0, np.append(0, np.cumsum(start))[ends]))
+    solid = ~blank
+    return sliced(data[solid].tobytes(), (np.cumsum(solid) - 1)[start]), sizes
 
 
 def rows(batch, *names: str, step: int = 128):
@@ -155,4 +236,6 @@ def rows(batch, *names: str, step: int = 128):
 def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The pieces flat[starts[i]:starts[i] + lengths[i]], one after the other."""
     ends = np.cumsum(lengths)
-    return flat[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    return flat[np.repeat((starts - ends + lengths).astype(kind), lengths) + np.arange(total, dtype=kind)]

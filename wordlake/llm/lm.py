@@ -19,18 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_TOKENS, in_blocks, squeezed, unlisted, unsqueezed
-from .common import byte_words, columns_of, crc_remainder, rows, save
+from .blocks import BLOCK_CHARS, in_blocks, squeezed, unlisted, unsqueezed
+from .common import columns_of, crc_remainder, rows, save, word_array
 
 #: Words that the network knows, its classes, the sizes of vectors and state.
 KNOWN, CLASSES, INPUT, STATE = 2047, 32, 16, 24
 #: Rounds in which each training document is learned from once; weights are averaged after each.
 ROUNDS = 4
-LANES, WINDOW, RATE = 256, 24, 0.01
+LANES, WINDOW, RATE = 512, 24, 0.01
 #: Training tokens after which a stream of whole documents ends, and the least updates from a stream.
-STREAM, UPDATES = 200_000, 32
+STREAM, UPDATES = 400_000, 32
 #: Documents scored side by side, and steps whose states are kept.
-SIDE, STEPS = 512, 16
+SIDE, STEPS = 1024, 16
 SMOOTH = 0.1
 #: Lists of frequent words, and partitions' weights, that are merged at a time.
 FAN_IN = 64
@@ -304,7 +304,7 @@ def fit(numbered: DataFrame, p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 NUMBERED = "doc_ids array<long>, sizes array<long>, counted array<boolean>, known array<long>, base array<double>, rest array<double>, ids binary"
 
 
-def lm_scores(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def lm_scores(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows whose crc32(doc_id as text) mod 10 is not 0.  A null or
@@ -314,7 +314,7 @@ def lm_scores(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     empty result.
     """
     source = columns_of(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("counted", crc_remainder("doc_id", 10) != 0)
-    words, placed, buckets = in_blocks(source, byte_words, block_tokens)
+    words, placed, buckets = in_blocks(source, word_array, block_chars)
     answers = save(words.groupBy("bucket").applyInArrow(_count, "block long, bucket int, words binary, counts binary, tokens long, distinct long, top_words array<binary>, top_counts array<long>"))
     ends = source.where("counted").count()
     sums = answers.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
