@@ -56,7 +56,7 @@ def test_exact_dedup_repeats_nulls_and_empty(spark):
 
 
 def test_url_filter(spark):
-    urls = ["http://www.example.com/en/1", "https://blog.Example.com/en/2?x=/y", "http://a.com/", "http://a.com", "http://b.net/es/1#a", "http://b.net/de/es/", None, "no url", "x://b.net/fr/?q", "ftp://casino.org/x", "ftp://casino1.org/x", "http://q.org/wp-login.php", "http://notexample.com/en/", "http://a.com:80/", "a://b.com/c://d.net/es/"]
+    urls = ["http://www.example.com/en/1", "https://blog.Example.com/en/2?x=/y", "http://a.com/", "http://a.com", "http://b.net/es/1#a", "http://b.net/de/es/", None, "no url", "x://b.net/fr/?q", "ftp://casino.org/x", "ftp://casino1.org/x", "http://q.org/wp-login.php", "http://notexample.com/en/", "http://a.com:80/", "a://b.com/c://d.net/es/", "http://a.org/click/redirectTo", "http://a.org/click/redirect?to", "http://a.org/ads/x/bannerAd", "http://a.org/ads/x/banner", "http://a.org/ads/x/Banner", "http://CASINO.org/x", "http://q.org/" + "a/b1" * 20_000 + "/wp-login.php"]
     pages = spark.createDataFrame([(i, u, "h", 3) for i, u in enumerate(urls)], "page_id long, url string, host string, rank int")
     got = {r["page_id"]: r for r in url_rules.url_filter(pages, url_rules.site_rules(spark).unionByName(url_rules.pattern_rules(spark))).collect()}
     assert len(got) == len(urls)
@@ -69,6 +69,15 @@ def test_url_filter(spark):
     assert url_rules.url_filter(pages.limit(0), url_rules.site_rules(spark)).count() == 0
 
 
+def test_url_rules_without_tokens_ties_and_repeated_rows(spark, monkeypatch):
+    pages = spark.createDataFrame([(None, "http://a.org/x"), (1, "http://a.org/x"), (1, "http://a.org/x"), (2, "http://a.org/"), (3, None)], "page_id long, url string")
+    rules = spark.createDataFrame([("r1", "block", "x$", [], 1), ("r0", "block", "x$", ["x"], 1), (None, "allow", "nothing", ["nothing"], 7)], "rule string, verdict string, pattern string, tokens array<string>, rank int")
+    want = sorted([(None, "r1", "block"), (1, "r1", "block"), (1, "r1", "block"), (2, None, "allow"), (3, None, "allow")], key=repr)
+    for limit in (10, 0):
+        monkeypatch.setattr(url_rules, "BROADCAST_RULES", limit)
+        assert sorted(((r["page_id"], r["rule"], r["verdict"]) for r in url_rules.url_filter(pages, rules).collect()), key=repr) == want
+
+
 def brute_spans(text):
     text = text or ""
     base, weak = [], []

@@ -77,7 +77,7 @@ ORACLE_SQL = {
             select p.page_id, p.host, p.path, arg_max(r.rule, length(r.rule)) as rule, arg_max(r.verdict, length(r.rule)) as verdict
             from p left join rules r on (p.host = r.h or ends_with(p.host, '.' || r.h)) and starts_with(p.path, r.q) group by all)
         select page_id, host, path, rule, coalesce(verdict, case
-            when regexp_matches(host || path, '(^|[./-])ads?[./-].*/banner([^a-z0-9]|$)') or regexp_matches(host || path, '/(click|track|pixel)/redirect([^a-z0-9]|$)')
+            when regexp_matches(host || path, '(^|[./-])ads?[./-].*/banner([^A-Za-z0-9]|$)') or regexp_matches(host || path, '/(click|track|pixel)/redirect([^A-Za-z0-9]|$)')
               or regexp_matches(host || path, '^([^/]*[.-])?casino[.-][^/]*/') or regexp_matches(host || path, '/wp-login\.php$') then 'block' else 'allow' end) as verdict
         from best""",
     "op9_topk_search": r"""

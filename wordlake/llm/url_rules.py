@@ -19,12 +19,14 @@ from .common import columns_of
 SITE_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 #: (verdict, expression over host and path, literal tokens that every match holds), for URLs that no site rule fits.
 PATTERN_RULES = (
-    ("block", r"(^|[./-])ads?[./-].*/banner([^a-z0-9]|$)", ("banner",)),
-    ("block", r"/(click|track|pixel)/redirect([^a-z0-9]|$)", ("redirect",)),
+    ("block", r"(^|[./-])ads?[./-].*/banner([^A-Za-z0-9]|$)", ("banner",)),
+    ("block", r"/(click|track|pixel)/redirect([^A-Za-z0-9]|$)", ("redirect",)),
     ("block", r"^([^/]*[.-])?casino[.-][^/]*/", ("casino",)),
     ("block", r"/wp-login\.php$", ("wp", "login", "php")),
 )
-TOKEN = "[a-z0-9]+"
+TOKEN = "[A-Za-z0-9]+"
+#: Rules up to which they, and their index, are broadcast (some hundred bytes each); beyond it they are shuffled, in SALTS parts a token.
+BROADCAST_RULES, SALTS = 50_000, 32
 
 
 def site_rules(spark: SparkSession, rules=SITE_RULES) -> DataFrame:
@@ -38,7 +40,10 @@ def site_rules(spark: SparkSession, rules=SITE_RULES) -> DataFrame:
 
 
 def pattern_rules(spark: SparkSession, rules=PATTERN_RULES) -> DataFrame:
-    """Rows like those of site_rules(), with ranks below zero: any site rule goes before them; earlier ones go first."""
+    """Rows like those of site_rules(), with ranks below zero: any site rule goes before them; earlier ones go first.
+
+    The tokens are whole ones (runs of TOKEN) that every match holds, letter case included; a rule without tokens is tried on every URL.
+    """
     rows = [(None, verdict, pattern, sorted(set(tokens)), -i) for i, (verdict, pattern, tokens) in enumerate(rules, start=1)]
     return spark.createDataFrame(rows, "rule string, verdict string, pattern string, tokens array<string>, rank int")
 
@@ -55,20 +60,29 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """One row per page: page_id, host, path, rule, verdict.
 
     A null URL or one without '://' has an empty host and path.  The rule of the
-    highest rank among those that match gives the verdict, default where none
-    does.  Each row counts by itself: repeated rows and null ids stay.  Other
-    columns of pages are not read, and an empty table gives an empty result.
+    highest rank among those that match gives the verdict (of equal ranks the
+    greatest rule), default where none does.  Each row counts by itself: repeated
+    rows and null ids stay.  Rules without tokens are tried on every URL; rules
+    may not share a rank with another verdict.  Other columns of pages are not
+    read, and an empty table gives an empty result.
     """
     host, path = host_and_path("url")
     seen = columns_of(pages, id_col, url_col).toDF("page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
-    target = F.concat("host", "path")
-    seen = seen.select(F.monotonically_increasing_id().alias("uid"), "*", F.array_distinct(F.regexp_extract_all(F.lower(target), F.lit(f"({TOKEN})"), F.lit(1))).alias("tokens"))
-
-    counts = seen.select(F.explode("tokens").alias("token")).join(rules.select(F.explode("tokens").alias("token")).distinct(), "token", "left_semi").groupBy("token").count()
-    index = rules.select("rank", "pattern", F.explode("tokens").alias("token")).join(counts, "token", "left")
-    index = index.groupBy("rank", "pattern").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token")).alias("rarest")).select("rank", F.col("pattern").alias("__pattern"), F.col("rarest.token").alias("token"))
-
-    fetched = seen.select("uid", "page_id", "host", "path", F.explode_outer("tokens").alias("token")).join(index, "token", "left")
+    tokens = F.array_distinct(F.regexp_extract_all(F.concat("host", "path"), F.lit(f"({TOKEN})"), F.lit(1)))
+    few = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
+    small = F.broadcast if few else lambda df: df
+    # the empty token stands on every URL, for the rules without tokens
+    seen = seen.select(F.monotonically_increasing_id().alias("uid"), "*", F.array_append(tokens, F.lit("")).alias("tokens"))
+    held = rules.select("rank", "pattern", F.explode(F.when(F.size("tokens") > 0, F.col("tokens")).otherwise(F.array(F.lit("")))).alias("token"))
+
+    counts = seen.select(F.explode("tokens").alias("token")).join(small(held.select("token").distinct()), "token", "left_semi").groupBy("token").count()
+    index = held.join(counts, "token", "left").groupBy("rank", "pattern").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token")).alias("rarest")).select("rank", F.col("pattern").alias("__pattern"), F.col("rarest.token").alias("token"))
+
+    fetched, keys = seen.select("uid", "page_id", "host", "path", F.explode("tokens").alias("token")), ["token"]
+    if not few:
+        fetched, keys = fetched.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS))), ["token", "salt"]
+        index = index.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     fits = F.when(F.rlike(F.concat("host", "path"), F.col("__pattern")), F.col("rank"))
-    best = fetched.groupBy("uid", "page_id", "host", "path").agg(F.max(fits).alias("rank"))
-    return best.join(rules.select("rank", "rule", F.col("verdict").alias("given")), "rank", "left").select("page_id", "host", "path", "rule", F.coalesce("given", F.lit(default)).alias("verdict"))
+    best = fetched.join(small(index), keys, "left").groupBy("uid", "page_id", "host", "path").agg(F.max(fits).alias("rank"))
+    given = rules.groupBy("rank").agg(F.max("rule").alias("rule"), F.max("verdict").alias("given"))
+    return best.join(small(given), "rank", "left").select("page_id", "host", "path", "rule", F.coalesce("given", F.lit(default)).alias("verdict"))
