@@ -148,6 +148,36 @@ def test_top_k(spark):
     assert topk.top_k(topk.quantised(table.limit(0)), topk.F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_top_k_of_every_length(spark):
+    r = random.Random(9)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(i % 90 + 1)]) for i in range(360)]
+    got = defaultdict(list)
+    for x in topk.top_k(topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), topk.F.col("vec_id") % 2 == 0, k=2).collect():
+        got[x["query_id"]].append((x["rank"], x["vec_id"], x["score"]))
+    vec = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows}
+    for q in range(0, 360, 2):
+        best = sorted((-int(vec[q] @ vec[i]), i) for i in vec if i != q and len(vec[i]) == len(vec[q]))[:2]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
+def test_pivots_spare_most_evaluations(spark):
+    r = np.random.default_rng(5)
+    centres = r.normal(0, 3, (30, 16))
+    x = centres[r.integers(0, 30, 3000)] + r.normal(0, 0.2, (3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = topk.quantised(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"))
+    share = lambda df: df.where("vec_id is null").agg(topk.F.sum("score")).first()[0] / (60 * 2999)
+    with_pivots = topk.candidates(table, topk.F.col("vec_id") % 50 == 0)
+    few = share(with_pivots)
+    assert few < 0.2 and share(topk.candidates(table, topk.F.col("vec_id") % 50 == 0, pivots=1)) > 2 * few
+    v = np.floor(256 * x).astype(int)
+    best = {q: sorted((-int(s), i) for i, s in enumerate(v @ v[q]) if i != q)[:5] for q in range(0, 3000, 50)}
+    got = defaultdict(list)
+    for y in topk.top_k(table, topk.F.col("vec_id") % 50 == 0).collect():
+        got[y["query_id"]].append((-y["score"], y["vec_id"]))
+    assert {q: sorted(b) for q, b in got.items()} == best
+
+
 def test_packing(spark):
     r = random.Random(5)
     texts = TEXTS + [" ".join(r.choice(["alpha", "beta", "x1", "don't"]) for _ in range(r.choice([3, 50, 400, 1500]))) for _ in range(80)]
