@@ -49,6 +49,48 @@ def test_classifiers(tables, scores, column):
     assert {r["predicted"] for r in scores(docs, labels.limit(0)).collect()} == {0}
 
 
+def test_quality_against_plain_python(spark, monkeypatch):
+    r = random.Random(3)
+    texts = [None, "", "one", "one two"] + [" ".join(r.choice("alpha Beta gamma, delta! é中 x1".split()) for _ in range(r.randint(1, 40))) for _ in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(5)
+    monkeypatch.setattr(quality, "FAN_IN", 2)
+    got = quality.word_vectors(docs)
+    sums = {}
+    for t in texts * 2:
+        words = [quality._number(w) for w in quality._TOKEN.findall(t or "")]
+        for i, w in enumerate(words):
+            for j in range(max(0, i - 2), min(len(words), i + 3)):
+                if j != i:
+                    for n, place in enumerate(quality.marks()[words[j]].tolist()):
+                        sums.setdefault(w, [0] * quality.DIM)[place] += 1 if n < 3 else -1
+    for w, total in sums.items():
+        own = np.zeros(quality.DIM)
+        own[quality.marks()[w]] = [1, 1, 1, -1, -1, -1]
+        assert np.allclose(got[w], np.array(total) / max(1e-9, np.sqrt(sum(x * x for x in total))) + own / np.sqrt(6), atol=1e-5)
+    assert len(sums) == len({w for t in texts if t for w in quality._TOKEN.findall(t)})  # each word of these has a vector of its own
+    words = [quality._number(w) for w in quality._TOKEN.findall(texts[-1])]
+    mean = [sum(float(got[w][d]) for w in words) / len(words) for d in range(quality.DIM)]
+    assert np.allclose(quality.pooled(np.array(words), got)[: quality.DIM], mean, atol=1e-5)
+
+
+def test_toxicity_against_plain_python(tables):
+    docs, labels = tables
+    sample, priors = toxicity.labelled(docs.select("doc_id", "text"), labels, "toxic")
+    table = sample.mapInArrow(toxicity._features, "label int, ids binary, weights binary").toArrow()
+    vectors, out, bias = toxicity.train(table, priors)
+
+    def plain(text):
+        words = toxicity._WORD.findall(text.lower())
+        mean = sum(vectors[toxicity.subwords(w)].astype(float).mean(0) for w in words) / len(words) * toxicity.SCALE
+        z = mean @ out + bias
+        return 1 / (1 + np.exp(z[0] - z[1]))
+
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, labels).collect()}
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect() if r["text"] and toxicity._WORD.search(r["text"])]
+    # training takes the sample in the order in which it comes, so two runs agree nearly, not to the last digit
+    assert np.corrcoef([got[i] for i, _ in texts], [plain(t) for _, t in texts])[0, 1] > 0.99
+
+
 def test_drop_toxic_keeps_columns(tables):
     docs, labels = tables
     kept = toxicity.drop_toxic(docs, labels)

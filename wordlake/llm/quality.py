@@ -1,44 +1,54 @@
 """Quality scores from random-indexing word vectors, pooled, and a two-layer network with calibrated probabilities.
 
 Every word has a sparse random index vector; its word vector is the sum of the
-index vectors of its neighbours over all documents.  Words share a fixed number
-of buckets apart by their letter case, so that the table of vectors has a fixed
-size.  A document is the mean and spread of its words' vectors.
+index vectors of its neighbours over all documents.  Words are hashed to WORDS
+numbers, so that a table of vectors has a fixed size, which the tables of all
+partitions are added up to.  A document is the mean and spread of its words'
+vectors.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import squeezed, unsqueezed
 from .common import columns_of, crc_remainder, rows, save
 from .toxicity import _Kept, labelled
 
-#: Buckets of each of the shapes lower, capitalised, upper and other; length of vectors; neighbours on each side.
-PER_SHAPE, DIM, NEAR = 512, 48, 2
-WORDS = 4 * PER_SHAPE
+#: Numbers of words, length of vectors, places of an index vector that are not 0 (the first half 1, the others -1), neighbours on each side.
+WORDS, DIM, MARKS, NEAR = 1 << 16, 48, 6, 2
 PER_LABEL = 3000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 40, 64, 0.003
 THRESHOLD = 0.7
-FAN_IN = 64
+#: Tables that are added at a time; tokens after which a task adds up what it holds.
+FAN_IN, HELD = 16, 1 << 20
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
-_rng = np.random.default_rng(11)
-INDEX = np.zeros((WORDS, DIM), np.float32)
-for _row in INDEX:
-    _row[_rng.choice(DIM, 6, replace=False)] = (1, 1, 1, -1, -1, -1)
 
+@lru_cache(1)
+def marks() -> np.ndarray:
+    """The places of each word's index vector that are not 0."""
+    return np.argsort(np.random.default_rng(11).random((WORDS, DIM), dtype=np.float32), axis=1)[:, :MARKS].astype(np.int32)
 
-def _bucket(token: str) -> int:
+
+def index_vectors() -> np.ndarray:
+    out = np.zeros((WORDS, DIM), np.float32)
+    for j in range(MARKS):
+        out[np.arange(WORDS), marks()[:, j]] = 1 if j < MARKS // 2 else -1
+    return out
+
+
+def _number(token: str) -> int:
     import xxhash
 
-    shape = 3 if not token[0].isalpha() else 0 if token.islower() else 2 if len(token) > 1 and token.isupper() else 1
-    return shape * PER_SHAPE + xxhash.xxh3_64_intdigest(token.encode("utf-8", "replace")) % PER_SHAPE
+    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "replace")) % WORDS
 
 
 def _tokens(text: str | None, known: _Kept) -> np.ndarray:
@@ -46,42 +56,70 @@ def _tokens(text: str | None, known: _Kept) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, found), np.int64, len(found))
 
 
+def _sums_of(documents: list[np.ndarray]) -> np.ndarray:
+    """For every word the sum of its neighbours' index vectors within the documents, as a flat table."""
+    empty = np.full(NEAR, -1)  # keeps documents apart
+    b = np.concatenate([x for d in documents for x in (d, empty)])
+    out = np.zeros(WORDS * DIM)
+    for gap in range(1, NEAR + 1):
+        one, two = b[:-gap], b[gap:]
+        real = (one >= 0) & (two >= 0)
+        one, two = one[real], two[real]
+        for word, other in ((one, two), (two, one)):
+            for j in range(MARKS):
+                sums = np.bincount(word * DIM + marks()[other, j], minlength=WORDS * DIM)
+                out += sums if j < MARKS // 2 else -sums
+    return out
+
+
+def _packed(sums: np.ndarray) -> bytes:
+    """Sums as whole numbers, the sign in the lowest bit, compressed."""
+    x = sums.astype(np.int64)
+    return squeezed(np.abs(x) * 2 + (x < 0))
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    x = unsqueezed(blob).astype(np.int64)
+    return np.where(x & 1, -(x >> 1), x >> 1)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's neighbour sums, as one table of vectors."""
     from pyspark import TaskContext
 
-    known, counts, pairs, size = _Kept(_bucket), np.zeros(WORDS * WORDS, np.float32), [], 0
+    known, total, held, size = _Kept(_number), np.zeros(WORDS * DIM), [], 0
     for batch in batches:
         for (text,) in rows(batch, "text"):
-            b = _tokens(text, known)
-            for gap in range(1, NEAR + 1):
-                pairs.append(b[:-gap] * WORDS + b[gap:])
-                size += len(b)
-            if size > 3_000_000:
-                counts += np.bincount(np.concatenate(pairs), minlength=WORDS * WORDS)
-                pairs, size = [], 0
-    if pairs:
-        counts += np.bincount(np.concatenate(pairs), minlength=WORDS * WORDS)
-    counts = counts.reshape(WORDS, WORDS)
-    sums = counts @ INDEX + counts.T @ INDEX
-    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sums.astype(np.float64).tobytes()], pa.binary())], ["part", "sums"])
+            held.append(_tokens(text, known))
+            size += len(held[-1])
+            if size >= HELD:
+                total += _sums_of(held)
+                held, size = [], 0
+    if size:
+        total += _sums_of(held)
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([_packed(total)], pa.binary())], ["part", "sums"])
 
 
 def _added(table: pa.Table) -> pa.Table:
-    total = sum((np.frombuffer(x.as_py()) for x in table["sums"]), np.zeros(WORDS * DIM))
-    return pa.table({"part": pa.array([table["part"][0].as_py() // FAN_IN], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+    total = np.zeros(WORDS * DIM, np.int64)
+    for x in table["sums"]:
+        total += _unpacked(x.as_py())
+    # beyond 31 bits all sums of the table are scaled, as only their directions count
+    while np.abs(total).max() >= 1 << 31:
+        total //= 2
+    return pa.table({"part": pa.array([table["part"][0].as_py() // FAN_IN], pa.int64()), "sums": pa.array([_packed(total)], pa.binary())})
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """Vectors of all word buckets, of length 1, over all documents: partitions' sums are added FAN_IN at a time."""
+    """Vectors of all words' numbers over all documents, a unit vector of the sums plus one of the index: partitions' tables are added FAN_IN at a time."""
     sums = docs.select("text").mapInArrow(_contexts, "part long, sums binary")
     while True:
         sums = save(sums.groupBy(F.floor(F.col("part") / FAN_IN)).applyInArrow(_added, "part long, sums binary"))
         if sums.count() <= 1:
             break
-    found = sums.collect()
-    total = np.frombuffer(found[0]["sums"]).reshape(WORDS, DIM) if found else np.zeros((WORDS, DIM))
-    return (total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True)) + INDEX / np.sqrt(6)).astype(np.float32)
+    found = sums.collect()  # one table of a fixed size
+    total = (_unpacked(found[0]["sums"]) if found else np.zeros(WORDS * DIM)).reshape(WORDS, DIM)
+    return (total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True)) + index_vectors() / np.sqrt(MARKS)).astype(np.float32)
 
 
 def pooled(b: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -148,7 +186,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABE
     sample, priors = labelled(source, labels, "quality", per_label)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Kept(_bucket)
+        known = _Kept(_number)
         for batch in batches:
             x = [pooled(_tokens(t, known), vectors).tobytes() for (t,) in rows(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x, pa.binary())], ["label", "x"])
@@ -164,7 +202,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABE
         p["w1"], p["w2"] = p["w1"].reshape(-1, HIDDEN), p["w2"].reshape(HIDDEN, 2)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Kept(_bucket)
+        known = _Kept(_number)
         for batch in batches:
             x = [pooled(_tokens(t, known), vectors) for (t,) in rows(batch, "text")]
             out = probability(np.array(x, float), p) if p and x else np.zeros(len(x))
