@@ -48,3 +48,18 @@ def test_stages_tell_rows_apart_by_more_than_their_ids(spark):
     odd = [(None, bad), (900, bad), (900, rows[1][1])]
     kept = of(drop_toxic(table(*[(i, t) for i, t, *_ in rows if i is not None], *odd), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
     assert (900, rows[1][1]) in kept and not {(None, bad), (900, bad)} & set(kept)
+
+
+def test_run_on_odd_and_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    _, labels = corpus(n=50)
+    long = " ".join(f"w{i}" for i in range(40_000)) + " password = abcdef123"
+    rows = [(None, None), (1, None), (1, ""), (2, long), (2, long), (None, long + " "), (3, "a"), (3, "a b")]
+    for name, own in (("odd", rows), ("empty", [])):
+        spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in own], schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        packed = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert len({(r["doc_id"], r["sequence_id"], r["offset"]) for r in packed}) == len(packed)
+        # the row of most code points stays of the long ones, and one of those without text
+        wholes = [r["doc_id"] for r in packed if r["piece"] == 0]
+        assert sorted(wholes, key=repr) == ([1, 3, 3, None] if own else []), wholes

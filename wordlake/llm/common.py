@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -19,10 +20,13 @@ BROADCAST_IDS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a temporary one on a local master alone."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wordlake-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="wordlake-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -61,6 +65,19 @@ def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(ids) if few else ids, F.col(column).eqNullSafe(F.col("__id")), "left_semi")
 
 
+#: Rows of a key from which it is joined by broadcast, and keys up to which they may be.
+HOT, HOT_KEYS = 10_000, 100_000
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, size: str) -> DataFrame:
+    """The inner join with right, which has each key once, with its number of rows in left in size; no task gets all rows of a large key."""
+    hot = right.where(F.col(size) > HOT)
+    if hot.limit(HOT_KEYS + 1).count() > HOT_KEYS:
+        return left.join(right, key)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right.where(F.col(size) <= HOT), key)
+    return left.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -111,18 +128,23 @@ def components(edges: DataFrame) -> DataFrame:
     """
     # saved tables, not checkpoint(): a checkpoint keeps size estimates, which multiply with every join
     both = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
-    both = save(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    both = save(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))).distinct()
     label = None
     while not both.isEmpty():
         least = save(both.groupBy(F.col("u").alias("a")).agg(F.min("v").alias("v")).select("a", F.least("a", "v").alias("p")))
         up = least.select(F.col("a").alias("p"), F.col("p").alias("pp"))
         point = save(least.join(up, "p", "left").select("a", F.coalesce("pp", "p").alias("p")))
+        drop_saved(least)
         to = lambda side, table=point: table.select(F.col("a").alias(side), F.col("p").alias(f"p{side}"))
-        both = save(both.join(to("u"), "u").join(to("v"), "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
+        fewer = save(both.join(to("u"), "u").join(to("v"), "v").where("pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
+        drop_saved(both)
+        both = fewer
         if label is None:
             label = point.select(F.col("a").alias("node"), F.col("p").alias("component"))
         else:
-            label = save(label.join(to("component"), "component", "left").select("node", F.coalesce("pcomponent", "component").alias("component")))
+            longer = save(label.join(to("component"), "component", "left").select("node", F.coalesce("pcomponent", "component").alias("component")))
+            drop_saved(label), drop_saved(point)
+            label = longer
     return label if label is not None else both.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 

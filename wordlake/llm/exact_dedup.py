@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, columns_of, numbered, only_ids, parallelism, save
+from .common import ROW, columns_of, join_hot, numbered, only_ids, parallelism, save
 
 #: Deleted before texts are compared.
 SPACES = " \t\n\x0b\x0c\r"
@@ -143,7 +143,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     proven = proven.select("text_sha256", F.when(F.col("texts") > 1, F.raise_error(F.lit("different texts with one SHA-256"))).otherwise(F.lit(True)).alias("same")).where("same is null or same")
     groups = suspects.groupBy("sha").agg(F.count("*").alias("group_size"), F.max(F.struct("length", F.coalesce(-F.col("doc_id"), F.lit(-(2**63))).alias("back"), (-F.col("uid")).alias("row"), "doc_id")).alias("best"))
     groups = save(groups.withColumn("text_sha256", F.lower(F.hex("sha"))).join(proven, "text_sha256").select("sha", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.row")).alias("keep_uid")))
-    decided = suspects.join(groups, "sha").select("uid", "group_size", "keep_id", (F.col("uid") == F.col("keep_uid")).alias("kept"))
+    decided = join_hot(suspects, groups, "sha", "group_size").select("uid", "group_size", "keep_id", (F.col("uid") == F.col("keep_uid")).alias("kept"))
     return digests.join(decided, "uid", "left").select(
         *([F.col("uid").alias(row_col)] if row_col else []),
         "doc_id",
@@ -155,7 +155,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_dedup() keeps, all columns."""
+    """The rows of docs that exact_dedup() keeps, all columns.
+
+    Rows are told apart by a number of their own: of repeated rows one stays,
+    null ids or not.  Of texts that are null, empty or blank one stays.
+    """
     table = numbered(docs)
     gone = exact_dedup(table, row_col=ROW).where("not kept").select(ROW)
     return table.join(gone, ROW, "left_anti").select(*docs.columns)

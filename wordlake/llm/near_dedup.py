@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, WordHashes, byte_words, columns_of, components, drop_saved, mix, numbered, only_ids, rows, save
+from .common import ROW, WordHashes, byte_words, columns_of, components, drop_saved, join_hot, mix, numbered, only_ids, rows, save
 
 SHINGLE = 5
 CHUNKS, WIDTH = 15, 5
 VALUES = CHUNKS * WIDTH
-#: Signatures further apart are not confirmed; at a similarity of 0.75 a distance over 33 of 75 has a chance below 1 in 10,000.
-NEAR = 33
+#: Signatures further apart are not confirmed; at a similarity of 0.75 a distance over 40 of 75 has a chance below 1 in 10 millions.
+NEAR = 40
 #: Least similarity, as a fraction of integers.
 SIMILAR = (75, 100)
 #: A key of more classes goes by hubs.
@@ -125,8 +125,8 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     Of the keys that a pair shares, only the one of the first chunk on which it
     agrees looks at the pair.  The sets at hand hold the low half of each
-    shingle's hash, which can only make a pair look more similar.  One partner
-    in each other component is enough to connect a member.
+    shingle's hash, so the pairs are confirmed on the whole hashes later.  One
+    partner in each other component, the most similar, connects a member.
     """
     for batch in batches:
         for row in batch.to_pylist():
@@ -145,7 +145,9 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 flat = np.concatenate([set_b[j] for j in at])
                 hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
                 both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
-                at = at[SIMILAR[1] * both >= SIMILAR[0] * (len(own) + sizes - both)]
+                # two hashes with one half each make the union smaller by one, and the pair may seem less similar by that
+                good = SIMILAR[1] * (both + 1) >= SIMILAR[0] * (len(own) + sizes - both - 1)
+                at = at[good][np.argsort(-(both / (len(own) + sizes - both))[good], kind="stable")]
                 at = at[np.unique(in_b[at], return_index=True)[1]]
                 u.append(np.maximum(id_b[at], id_a[i])), v.append(np.minimum(id_b[at], id_a[i]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
@@ -183,8 +185,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     source = columns_of(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = save(source.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, signature binary"))
-    known = signed.where("doc_id is not null and n_shingles > 0")
-    classes = save(known.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")))
+    known_row = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    known = signed.where(known_row)
+    classes = save(known.groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("copies")))
     texts = source.withColumnRenamed("doc_id", "node")
 
     keys = save(classes.select("node", "signature").mapInArrow(_index, "key long, node long"))
@@ -206,6 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what a large key still leaves apart
     state = large.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     sizes = state.groupBy("key", "component").agg(F.count("*").alias("size"))
+    used = [members, centres]
     main = save(sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"), F.sum("size").alias("n")).where("parts > 1").select("key", F.col("top.component").alias("main"), "n"))
     if not main.isEmpty():
         open_keys = save(state.join(main, "key"))
@@ -217,18 +221,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         few = open_keys.where("component <> main").groupBy("key", "block").agg(member.alias("few")).select("key", "few")
         rest = few.join(many, "key").select("few", "many", F.col("key").bitwiseAND(15).alias("chunk")).mapInArrow(_compare_blocks, "u long, v long")
         found = components(links.unionByName(_links(rest, classes, texts)))
+        used += [known_sets]
 
-    home = classes.select("set_hash", "node").join(found, "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
-    return signed.join(home, "set_hash", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    for table in used:
+        drop_saved(table)
+
+    home = save(classes.select("set_hash", "node", "copies").join(found, "node", "left").select("set_hash", "copies", F.coalesce("component", "node").alias("component")))
+    linked = join_hot(signed.where(known_row), home, "set_hash", "copies").select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("component") == F.col("doc_id")).alias("kept"))
+    alone = signed.where(~known_row).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return linked.unionByName(alone)
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """Of each component of near copies among the rows of docs the row with the smallest id (null last), all columns."""
+    """Of each component of near copies among the rows of docs the row with the smallest id (null last), all columns.
+
+    Rows are told apart by a number of their own, so repeated and null ids are
+    no copies by that.  Rows without words are linked with nothing and stay.
+    """
     table = numbered(docs)
     found = near_duplicates(table, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id").join(table.select(ROW, "doc_id"), ROW)
     best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", ROW)).alias("best"))

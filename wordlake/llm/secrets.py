@@ -4,7 +4,7 @@ Certain spans (keyed assignments, access keys, long hex runs) are always
 reported.  Weak candidates (identifiers, bare high-entropy strings, endpoints)
 are reported only where the parts that complete a credential stand within the
 same scope, found by an interval join over scope windows.  All of it is native
-DataFrame work; the text is read by one pass.
+DataFrame work in one scan of the table; each kind has its own expression.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base has the certain spans, found those and the linked weak ones.  A null
     text counts as empty.  Rows are told apart by a number of their own (that of
     row_col, if given), so repeated rows and null ids stay as they are.  Other
-    columns are not read.
+    columns are not read.  An empty table gives an empty result.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     uid, keys = (F.col("uid"), ["uid"]) if row_col else (F.monotonically_increasing_id().alias("uid"), [])
@@ -109,7 +109,11 @@ def secret_digest(found: DataFrame) -> DataFrame:
 
 
 def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """docs with every found span of text replaced by mask (overlapping spans by one), all columns; n_chars follows the text."""
+    """docs with every found span of text replaced by mask (overlapping spans by one), all columns; n_chars follows the text.
+
+    Rows are told apart by a number of their own, so repeated and null ids are
+    masked each by itself.  A null text stays null; all rows stay.
+    """
     table = numbered(docs)
     spans = find_secrets(table, row_col=ROW).where(F.size("found") > 0).select(F.col("uid").alias(ROW), F.col("found").alias("__spans"))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))

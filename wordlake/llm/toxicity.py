@@ -185,7 +185,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are not predicted toxic, all columns."""
+    """The rows of docs that are not predicted toxic, all columns.
+
+    Rows are told apart by a number of their own.  A null, empty or wordless
+    text goes only where most labelled rows are toxic beyond the threshold.
+    """
     table = numbered(docs)
     gone = toxicity_scores(table, labels, row_col=ROW).where("predicted = 1").select(ROW)
     return table.join(gone, ROW, "left_anti").select(*docs.columns)
