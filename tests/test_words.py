@@ -52,7 +52,9 @@ def test_functions(spark):
 def test_query_as_url_and_errors(spark):
     q = Query("th e", "pattern", least=3, intakes=("twl", "other"), sort="added", descending=True)
     assert Query.from_url(q.to_url()) == q and Query().to_url() == "" and "%20" in q.to_url()
-    assert Query.from_url("?mode=odd&least=x&sort=nothing") == Query()
+    assert Query.from_url("?m=odd&min=x&s=nothing&i=none&l=ab&ch=odd&c=1&d=0") == Query()
+    assert Query.from_url("?q=th&m=suffix&min=3&max=9&i=twl,other&l=a,q&ch=alpha&c=0&s=length&d=1") == Query("th", "suffix", 3, 9, ("twl", "other"), ("a", "q"), "alpha", True, "length", True)
+    assert Query("th", least=3, hide_contested=True, descending=True).to_url() == "q=th&min=3&d=1&c=0"
     with pytest.raises(ValueError):
         search(spark.createDataFrame([("a",)], "word string"), Query("(", "regex"))
 

@@ -6,13 +6,16 @@ import re
 from dataclasses import dataclass
 from urllib.parse import parse_qs, quote, urlencode
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.words import charset, glob
 
 MODES = ("prefix", "contains", "suffix", "pattern", "regex")
 SORTS = ("alpha", "length", "added")
+INTAKES = ("twl", "pipeline", "synthetic", "other")
+#: The keys of a query's fields in a URL.
+KEYS = {"text": "q", "mode": "m", "least": "min", "most": "max", "intakes": "i", "letters": "l", "charset": "ch", "sort": "s", "descending": "d", "hide_contested": "c"}
 
 
 @dataclass(frozen=True)
@@ -30,11 +33,12 @@ class Query:
 
     def error(self) -> str | None:
         """Why the query can't run, found before it does."""
-        if self.mode == "regex":
+        if self.mode == "regex" and (spark := SparkSession.getActiveSession()):
+            pattern = spark.sparkContext._jvm.java.util.regex.Pattern  # the expression runs in Java
             try:
-                re.compile(self.text.strip().lower())
-            except re.error as e:
-                return str(e)
+                pattern.compile(self.text.strip().lower())
+            except Exception as e:
+                return str(getattr(e, "java_exception", e))
         return None
 
     def condition(self) -> Column:
@@ -65,21 +69,24 @@ class Query:
         return [key.desc() if self.descending else key.asc(), F.col("word").asc()]
 
     def to_url(self) -> str:
-        """Query string without defaults."""
+        """Query string without defaults, under KEYS."""
         blank, out = Query(), {}
-        for name in self.__dataclass_fields__:
+        for name, key in KEYS.items():
             if (value := getattr(self, name)) != getattr(blank, name):
-                out[name] = ",".join(value) if isinstance(value, tuple) else value
+                out[key] = ",".join(value) if isinstance(value, tuple) else ("0" if name == "hide_contested" else "1") if isinstance(value, bool) else value
         return urlencode(out, quote_via=quote)
 
     @staticmethod
     def from_url(text: str) -> Query:
         """Unknown values fall back to the defaults."""
         given = {k: v[0] for k, v in parse_qs(text.lstrip("?")).items()}
-        number = lambda k: int(given[k]) if given.get(k, "").isdigit() else None
+        number = lambda k: int(given[k]) if re.fullmatch("[0-9]+", given.get(k, "")) else None
         choice = lambda k, allowed, default: given[k] if given.get(k) in allowed else default
-        many = lambda k: tuple(x for x in given.get(k, "").split(",") if x)
-        return Query(given.get("text", ""), choice("mode", MODES, "prefix"), number("least"), number("most"), many("intakes"), many("letters"), choice("charset", ("any", "alpha", "hyphen", "accent"), "any"), given.get("hide_contested") == "True", choice("sort", SORTS, "alpha"), given.get("descending") == "True")
+        many = lambda k, good: tuple(x for x in given.get(k, "").split(",") if good(x))
+        return Query(
+            given.get("q", ""), choice("m", MODES, "prefix"), number("min"), number("max"), many("i", INTAKES.__contains__), many("l", lambda x: re.fullmatch("[a-z]", x)),
+            choice("ch", ("any", "alpha", "hyphen", "accent"), "any"), given.get("c") == "0", choice("s", SORTS, "alpha"), given.get("d") == "1",
+        )
 
 
 def search(words: DataFrame, query: Query) -> DataFrame:
@@ -95,4 +102,5 @@ def page(words: DataFrame, query: Query, offset: int = 0, limit: int = 240) -> D
 
 
 def lookup(words: DataFrame, word: str) -> DataFrame:
+    """The row of a word, or none; over a table sorted by word it reads the row groups that may hold it."""
     return words.where(F.col("word") == word.strip().lower())

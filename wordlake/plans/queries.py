@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import words as fn
 from ..operators import lists, stats
 from ..operators.search import Query, page, search
-from ..sources.lexicon import WORDS_SQL, table, tokens, words
+from ..sources.lexicon import WORDS_SQL, table, word_sources, words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -143,8 +143,7 @@ _ORDINAL = "substr(source, 4)::int"
 
 def yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts (w, year, match, volume): tokens and documents of a word by the number of its source."""
-    per_doc = tokens(spark, sf_dir).groupBy("w", "source", "doc_id").agg(F.count("*").alias("n"))
-    return per_doc.groupBy("w", F.substring("source", 4, 9).cast("int").alias("year")).agg(F.sum("n").alias("match"), F.count("*").alias("volume"))
+    return word_sources(spark, sf_dir).select("w", F.substring("source", 4, 9).cast("int").alias("year"), F.col("n").alias("match"), F.col("d").alias("volume"))
 
 
 @on_tables("f13_corpus_aggregate", f"with {WORDS_SQL} select w, sum(match)::bigint as total_match, sum(volume)::bigint as total_volume, min(year) as first_year, max(year) as last_year, least(count(*), max(year) - min(year) + 1)::bigint as year_count from (select w, {_ORDINAL} as year, count(*) as match, count(distinct doc_id) as volume from tokens group by all) group by w")
@@ -163,7 +162,7 @@ def _(w):
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(word, pattern): twelve detectors (sources 0 to 11) as bits, by one aggregation."""
     source = F.substring("source", 4, 9).cast("int")
-    return tokens(spark, sf_dir).groupBy(F.col("w").alias("word")).agg(F.bit_or(F.when(source < 12, F.shiftleft(F.lit(1), 0) * F.pow(F.lit(2), source).cast("int")).otherwise(0)).alias("pattern"))
+    return word_sources(spark, sf_dir).groupBy(F.col("w").alias("word")).agg(F.bit_or(F.when(source < 12, F.pow(F.lit(2), source).cast("int")).otherwise(0)).alias("pattern"))
 
 
 _PATTERN = f"evidence as (select w as word, bit_or(case when {_ORDINAL} < 12 then (1 << {_ORDINAL}) else 0 end)::int as pattern from tokens group by w)"
@@ -188,7 +187,7 @@ def _(spark, sf_dir):
 
 @on_tables("f19_source_contributions", f"with {WORDS_SQL}, k as (select w, source, min({_ORDINAL}) over (partition by w) as first from (select distinct w, source from tokens)) select source, count(*) as keys, count(*) filter ({_ORDINAL} = first) as new_keys from k group by source")
 def _(spark, sf_dir):
-    keys = tokens(spark, sf_dir).select("w", "source").distinct()
+    keys = word_sources(spark, sf_dir).select("w", "source")
     number = F.substring("source", 4, 9).cast("int")
     first = F.min(number).over(Window.partitionBy("w"))
     return keys.withColumn("first", first).groupBy("source").agg(F.count("*").alias("keys"), F.count_if(number == F.col("first")).alias("new_keys"))
@@ -284,7 +283,7 @@ def _valid_invalid(w: DataFrame) -> tuple[DataFrame, DataFrame]:
     return w.where("n_sources >= 2").select("word"), w.where("n_sources < 2 or first_doc % 50 = 0").select("word")
 
 
-@on_words("e01_left_anti", f", {_LISTS} select word from invalid where word not in (select word from valid)")
+@on_words("e01_left_anti", f", {_LISTS} select word from invalid i where not exists (select 1 from valid v where v.word = i.word)")
 def _(w):
     valid, invalid = _valid_invalid(w)
     return invalid.join(valid, "word", "left_anti")
@@ -332,7 +331,7 @@ def _(w):
     return made.join(w.where("n_docs >= 3").select(word.alias("neighbour")), "neighbour", "left_semi").select("word", "neighbour")
 
 
-@on_words("e14_suggestions", "select a.word, b.word as suggestion from words a join words b on a.word <> b.word and abs(length(a.word) - length(b.word)) <= 1 and damerau_levenshtein(a.word, b.word) = 1 where a.intake = 'pipeline' and b.intake = 'twl'")
+@on_words("e14_suggestions", ", part as (select word, intake, left(word, i) || substr(word, i + 2) as k from (select word, intake, unnest(generate_series(0, length(word) - 1)) as i from words where intake in ('pipeline', 'twl')) union select word, intake, word from words where intake in ('pipeline', 'twl')) select distinct a.word, b.word as suggestion from part a join part b using (k) where a.intake = 'pipeline' and b.intake = 'twl' and damerau_levenshtein(a.word, b.word) = 1")
 def _(w):
     made = w.where("intake = 'pipeline'").select("word", F.explode(fn.edits(F.col("word"))).alias("suggestion"))
     return made.join(w.where("intake = 'twl'").select(F.col("word").alias("suggestion")), "suggestion", "left_semi").select("word", "suggestion")

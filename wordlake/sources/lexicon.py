@@ -1,32 +1,47 @@
-"""Canonical word tables, derived from the documents table."""
+"""Canonical word tables, derived from the documents table once and then read from where they are kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import stored
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tokens(docs: DataFrame) -> DataFrame:
     """(doc_id, source, w): the plain words of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.explode(F.split(F.lower("text"), "[^a-zß-ÿ]+")).alias("w"))
-    return docs.where(F.col("w").rlike(r"^[a-z]+\z"))
+    each = docs.select("doc_id", "source", F.explode(F.split(F.lower("text"), "[^a-zß-ÿ]+")).alias("w"))
+    return each.where(F.col("w").rlike(r"^[a-z]+\z"))
+
+
+def word_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(w, source, n, d, first_doc): a word's tokens, documents and smallest document in each source, kept sorted by word.
 
+    Words are counted per document first, so that a frequent word is no heavy key.
+    """
+    docs = table(spark, sf_dir, "documents")
 
-def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(word, n_tokens, n_docs, n_sources, first_doc); words are counted per document before the global sums."""
-    per_doc = tokens(spark, sf_dir).groupBy("w", "doc_id", "source").agg(F.count("*").alias("n"))
-    per_source = per_doc.groupBy("w", "source").agg(F.sum("n").alias("n"), F.count("*").alias("d"), F.min("doc_id").alias("first_doc"))
-    return per_source.groupBy(F.col("w").alias("word")).agg(F.sum("n").alias("n_tokens"), F.sum("d").alias("n_docs"), F.count("*").alias("n_sources"), F.min("first_doc").alias("first_doc"))
+    def build() -> DataFrame:
+        per_doc = _tokens(docs).groupBy("w", "doc_id", "source").agg(F.count("*").alias("n"))
+        return per_doc.groupBy("w", "source").agg(F.sum("n").alias("n"), F.count("*").alias("d"), F.min("doc_id").alias("first_doc"))
+
+    return stored(docs, "word_sources", build, "w")
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lexicon with intake, added, and the contested flag."""
-    intake = F.when(F.col("n_sources") >= 8, "twl").when(F.col("n_sources") >= 3, "pipeline").when((F.col("n_docs") == 1) & (F.length("word") >= 10), "synthetic").otherwise("other")
-    return lexicon(spark, sf_dir).select("*", intake.alias("intake"), F.date_add(F.lit("2025-12-17").cast("date"), (F.col("first_doc") % 60).cast("int")).alias("added"), (F.col("first_doc") % 50 == 0).alias("llm_invalid"))
+    """(word, n_tokens, n_docs, n_sources, first_doc, intake, added, llm_invalid), kept sorted by word."""
+
+    def build() -> DataFrame:
+        each = word_sources(spark, sf_dir).groupBy(F.col("w").alias("word"))
+        lexicon = each.agg(F.sum("n").alias("n_tokens"), F.sum("d").alias("n_docs"), F.count("*").alias("n_sources"), F.min("first_doc").alias("first_doc"))
+        intake = F.when(F.col("n_sources") >= 8, "twl").when(F.col("n_sources") >= 3, "pipeline").when((F.col("n_docs") == 1) & (F.length("word") >= 10), "synthetic").otherwise("other")
+        return lexicon.select("*", intake.alias("intake"), F.date_add(F.lit("2025-12-17").cast("date"), (F.col("first_doc") % 60).cast("int")).alias("added"), (F.col("first_doc") % 50 == 0).alias("llm_invalid"))
+
+    return stored(table(spark, sf_dir, "documents"), "words", build, "word")
 
 
 #: The same derivation as DuckDB SQL, for the oracles.
