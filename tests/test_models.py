@@ -86,15 +86,3 @@ def test_rank_law_of_an_exact_law(spark):
     counts = spark.createDataFrame([(1000.0 / (r + 5) ** 1.5,) for r in range(1, 200)], "n_tokens double")
     best = models.rank_law(counts).orderBy("sse").first()
     assert (best["beta"], round(best["alpha"], 6), round(best["log_c"], 6)) == (5.0, 1.5, 3.0)
-
-
-def test_misread(spark):
-    pairs = [("rn", "m"), ("m", "rn")]
-    pick = lambda w, u: spark.range(1).select(models.misread(F.lit(w), pairs, F.lit(u)).alias("x")).first()["x"]
-    assert [pick("mornm", u) for u in (0.0, 0.4, 0.999)] == ["momm", "rnornm", "mornrn"]
-    assert pick("abc", 0.5) is None and pick("", 0.5) is None
-
-
-def test_stratified_error_leaves_out_strata_without_trials(spark):
-    got = models.stratified_error(spark.createDataFrame([(100, 10, 5), (300, 1, 0), (50, 0, 0)], "size long, n long, k long")).first()
-    assert math.isclose(got["estimate"], 0.125) and math.isclose(got["se"], math.sqrt(100 * 100 * 0.25 / 9 * 0.9) / 400)

@@ -77,9 +77,56 @@ def test_lists(spark, tmp_path):
 
 
 def test_verdict_stream(spark, tmp_path):
-    from wordlake.streaming import verdict_stream
+    from wordlake.streaming import refused, replay, verdict_stream
 
-    (tmp_path / "a.json").write_text('{"ts":"2026-01-01T00:00:00Z","item_id":"x","event":"verdict","verdict":"word"}\n{"ts":"2026-01-02T00:00:00Z","item_id":"x","event":"amend","verdict":"not"}\n')
+    lines = [("2026-01-01", "x", "verdict", "word"), ("2026-01-02", "x", "verdict_amend", "not"), ("2026-01-03", "x", "search", None)]
+    (tmp_path / "a.json").write_text("".join(f'{{"ts":"{t}T00:00:00Z","item_id":"{i}","event":"{e}"' + (f',"verdict":"{v}"' if v else "") + "}\n" for t, i, e, v in lines))
     q = verdict_stream(spark, str(tmp_path)).writeStream.format("memory").queryName("verdicts").outputMode("complete").trigger(availableNow=True).start()
     assert q.awaitTermination(60)
-    assert [(r["item_id"], r["verdict"], r["events"]) for r in spark.table("verdicts").collect()] == [("x", "not", 2)]
+    assert [(r["item_id"], r["verdict"], r["events"]) for r in spark.table("verdicts").collect()] == [("x", "not", 3)]
+    log = spark.createDataFrame([(1, "a", "search", "s1", None), (2, "a", "verdict", None, "word"), (3, "a", "search", "s2", None), (4, "a", "verdict_amend", None, "not"), (5, "a", "verdict", None, "word"), (6, "b", "verdict_amend", None, "x"), (7, "c", "search", "s3", None)], "seq long, item_id string, event string, instrument string, verdict string")
+    got = {r["item_id"]: (r["verdict"], r["amended"], r["searches"]) for r in replay(log).collect()}
+    assert got == {"a": ("word", 1, ["s1", "s2"]), "b": ("x", 1, []), "c": (None, 0, ["s3"])}
+    assert {(r["item_id"], r["seq"]) for r in refused(log).collect()} == {("a", 5), ("b", 6)}
+
+
+def test_word_tables_are_pruned_and_kept(spark):
+    from wordlake.sources.lexicon import words
+
+    w = words(spark, DATA)
+    plan = search(w, Query("th", least=3, intakes=("twl",)))._jdf.queryExecution().toString()
+    assert "StringStartsWith(word,th)" in plan and "In(intake" in plan or "EqualTo(intake,twl)" in plan
+    assert words(spark, DATA).inputFiles() == w.inputFiles() and "Exchange" not in plan
+    first = [r["word"] for r in w.collect()]
+    assert len(set(first)) == len(first)
+
+
+def test_forms(spark):
+    from wordlake.functions import forms
+
+    at = lambda f, word: one(spark, f(F.lit(word)))
+    stems = lambda word: at(forms.comparative_stems, word)
+    assert "red" in stems("redder") and "happy" in stems("happiest") and "abatable" in stems("abatabler") and "large" in stems("larger")
+    assert ("ing", "bake") in [(p["affix"], p["stem"]) for p in at(forms.suffix_parses, "baking")] and ("ing", "run") in [(p["affix"], p["stem"]) for p in at(forms.suffix_parses, "running")]
+    assert ("ness", "happy") in [(p["affix"], p["stem"]) for p in at(forms.suffix_parses, "happiness")]
+    assert "schoolmaster" in at(forms.scan_sources, "schoolinaster") and at(forms.scan_sources, "dog") == []
+    assert [at(forms.likely_english, w) for w in ("abdominocutaneousest", "laryngoscopicalest", "abatabler", "aaab", "qat")] == [False, False, True, False, False]
+    assert at(lambda w: forms.misread(w, F.lit(0.0)), "mm") == "inm" and at(lambda w: forms.misread(w, F.lit(0.99)), "zzz") is None
+
+
+def test_form_ledger_and_guard(spark, tmp_path):
+    w = lambda *x: spark.createDataFrame([(i,) for i in x], "word string")
+    words = lambda df: sorted(r["word"] for r in df.collect())
+    ledger = lists.form_ledger(w("ad-lib", "-ness", "norteño", "fine", "x1"), w("ness", "fine"))
+    got = {(r["word"], r["action"], r["category"], r["listed"]) for r in ledger.collect()}
+    assert got == {("ad-lib", "delete_malformed", "compound", False), ("-ness", "delete_malformed", "fragment", True), ("norteño", "delete_malformed", "accented", False), ("x1", "delete_malformed", "compound", False), ("adlib", "add_candidate", "plain-form", False), ("norteno", "add_candidate", "plain-form", False), ("x", "add_candidate", "plain-form", False)}
+    frame = w("ness", "fine", "ad-lib", "-ness", "norteño", "x1")
+    assert words(lists.apply_form_ledger(frame, ledger)) == ["adlib", "fine", "ness", "norteno", "x"]
+    with pytest.raises(lists.RefusedError):
+        lists.apply_form_ledger(w("fine"), spark.createDataFrame([("fine", "delete_malformed")], "word string, action string"))
+    place = str(tmp_path / "list")
+    lists.guarded_overwrite(w("b", "a", "c"), place, 3)
+    assert lists.guarded_overwrite(spark.read.text(place).withColumnRenamed("value", "word").where("word <> 'c'"), place, 3) == 2  # from the list itself
+    assert sorted(r["value"] for r in spark.read.text(place).collect()) == ["a", "b"]
+    checked = spark.createDataFrame([("never", None), ("ancient", "2025-01-01"), ("recent", "2026-02-14")], "word string, checked string").withColumn("checked", F.col("checked").cast("date"))
+    assert [r["word"] for r in lists.due(checked, "2026-02-15").collect()] == ["never", "ancient"] and words(lists.evict(checked, "2026-02-15")) == ["recent"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +47,66 @@ def reconcile(before: DataFrame, after: DataFrame, removed: DataFrame, added: Da
     return state.select("word", problem.alias("problem")).where("problem is not null")
 
 
+def due(checked: DataFrame, as_of: str, days: int = 180, limit: int = 200) -> DataFrame:
+    """The words (word, checked) to look up next: those never checked, then those checked longest ago, but none within the last days."""
+    last = F.date_sub(F.lit(as_of).cast("date"), days)
+    return checked.where(F.col("checked").isNull() | (F.col("checked") <= last)).orderBy(F.coalesce(F.col("checked").cast("string"), F.lit("")), "word").limit(limit)
+
+
+def evict(checked: DataFrame, as_of: str, days: int = 180) -> DataFrame:
+    """What of the record of checks is still within its days."""
+    return checked.where(F.col("checked") > F.date_sub(F.lit(as_of).cast("date"), days))
+
+
+def form_ledger(entries: DataFrame, frame: DataFrame) -> DataFrame:
+    """(word, action, category, listed): entries against the form rule are deleted, and their plain forms, where well-formed and new, are added."""
+    word = F.col("word")
+    bad = entries.where(~word.rlike(r"^[a-z]+\z")).withColumn("plain", F.translate(F.regexp_replace(word, "[^a-zñéáíóú]", ""), "ñéáíóú", "neaiou"))
+    category = F.when(word.startswith("-") | word.endswith("-"), "fragment").when(F.octet_length(word) != F.length(word), "accented").otherwise("compound")
+    found = bad.join(frame.select(word.alias("plain"), F.lit(True).alias("known")), "plain", "left")
+    deleted = found.select("word", F.lit("delete_malformed").alias("action"), category.alias("category"), F.coalesce("known", F.lit(False)).alias("listed"), "plain")
+    added = deleted.where(~F.col("listed") & F.col("plain").rlike(r"^[a-z]+\z")).select(F.col("plain").alias("word")).distinct()
+    return deleted.drop("plain").unionByName(added.select("word", F.lit("add_candidate").alias("action"), F.lit("plain-form").alias("category"), F.lit(False).alias("listed")))
+
+
+def form_problems(ledger: DataFrame, frame: DataFrame) -> DataFrame:
+    """(word, problem) of every row that must not be applied; a ledger is applied only where there is none."""
+    known = ledger.join(frame.select("word", F.lit(True).alias("known")), "word", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    action, good = F.col("action"), F.col("word").rlike(r"^[a-z]+\z")
+    problem = (
+        F.when(~F.coalesce(action.isin("delete_malformed", "add_candidate"), F.lit(False)), "unknown action")
+        .when((action == "delete_malformed") & good, "well-formed").when((action == "delete_malformed") & ~F.col("known"), "not present")
+        .when((action == "add_candidate") & ~good, "malformed").when((action == "add_candidate") & F.col("known"), "already present")
+    )
+    return known.select("word", problem.alias("problem")).where("problem is not null")
+
+
+def apply_form_ledger(frame: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The frame after the ledger's deletions and additions; a single bad row refuses all."""
+    bad = form_problems(ledger, frame).count()
+    if bad:
+        raise RefusedError(f"{bad} ledger rows are unsafe")
+    gone, new = (ledger.where(F.col("action") == a).select("word").distinct() for a in ("delete_malformed", "add_candidate"))
+    return frame.select("word").join(gone, "word", "left_anti").unionByName(new)
+
+
 def guarded_overwrite(new: DataFrame, path: str, loaded: int, least: float = 0.5) -> int:
-    """Writes the list sorted, unless it has no rows or under the given share of those loaded."""
-    rows = new.count()
+    """Writes the list sorted, unless it has no rows or under the given share of those loaded.
+
+    The list is written beside its place and then swapped in, so that a failed
+    write loses nothing and new may be derived from the list itself.
+    """
+    context = new.sparkSession.sparkContext
+    at = lambda name: context._jvm.org.apache.hadoop.fs.Path(name)
+    final, draft, old = (at(f"{path.rstrip('/')}{end}") for end in ("", f".new-{uuid.uuid4().hex}", f".old-{uuid.uuid4().hex}"))
+    files = final.getFileSystem(context._jsc.hadoopConfiguration())
+    new.select("word").sort("word").write.text(draft.toString())
+    rows = new.sparkSession.read.text(draft.toString()).count()
     if rows == 0 or rows < least * loaded:
+        files.delete(draft, True)
         raise RefusedError(f"{rows} rows would replace {loaded}")
-    new.select("word").sort("word").write.mode("overwrite").text(path)
+    if files.exists(final):
+        files.rename(final, old)
+    files.rename(draft, final)
+    files.delete(old, True)
     return rows

@@ -163,18 +163,29 @@ def posterior(patterns: DataFrame, detectors: int, seed: str = "0") -> DataFrame
 # rank laws and capture-recapture
 
 
-def rank_law(counts: DataFrame, betas: tuple[float, ...] = (0, 1, 2, 5, 10, 20, 50, 100), count: str = "n_tokens") -> DataFrame:
-    """(beta, alpha, log_c, sse): least squares of log10 count on log10(rank + beta).
+#: The shifts of rank that are tried.
+BETAS = (0.0, 1.0, 2.7, 5.0, 10.0, 26.0, 100.0, 1000.0)
+PROBES = 400
 
-    A rank is the number of larger counts, plus one.  It is found among the
-    distinct counts, which grow far slower than the rows.
-    """
+
+def ranks(counts: DataFrame, count: str = "n_tokens") -> DataFrame:
+    """(count, k, rank) of each distinct count: how many have it, and one more than have a larger one."""
     by = counts.groupBy(count).agg(F.count("*").alias("k"))
     above = F.coalesce(F.sum("k").over(Window.orderBy(F.desc(count)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    y = F.log10(count)
-    ranked = by.select(y.alias("y"), (above + 1).alias("rank"))
-    each = ranked.select("*", F.explode(F.array(*[F.lit(float(b)) for b in betas])).alias("beta"))
-    each = each.withColumn("x", F.log10(F.col("rank") + F.col("beta")))
+    return by.select(count, "k", (above + 1).alias("rank"))
+
+
+def rank_law(counts: DataFrame, betas: tuple[float, ...] = BETAS, count: str = "n_tokens") -> DataFrame:
+    """(beta, alpha, log_c, sse): least squares of log10 count on log10(rank + beta), over PROBES ranks at equal ratios.
+
+    Ranks are found among the distinct counts, which grow far slower than the rows.
+    """
+    by = ranks(counts, count)
+    i = F.explode(F.sequence(F.lit(0), F.lit(PROBES - 1))).alias("i")
+    probes = by.agg(F.sum("k").alias("size")).select("size", i).select(F.floor(F.pow("size", F.col("i") / F.lit(float(PROBES - 1)))).alias("at")).distinct()
+    probed = by.join(F.broadcast(probes), (F.col("at") >= F.col("rank")) & (F.col("at") < F.col("rank") + F.col("k")))  # PROBES rows at most
+    each = probed.select(F.log10(count).alias("y"), "at", F.explode(F.array(*[F.lit(float(b)) for b in betas])).alias("beta"))
+    each = each.withColumn("x", F.log10(F.col("at") + F.col("beta")))
     fit = each.groupBy("beta").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("log_c"), F.regr_syy("y", "x").alias("syy"), F.regr_sxy("y", "x").alias("sxy"))
     return fit.select("beta", (-F.col("slope")).alias("alpha"), "log_c", (F.col("syy") - F.col("slope") * F.col("sxy")).alias("sse"))
 
@@ -193,14 +204,3 @@ def stratified_error(tallies: DataFrame) -> DataFrame:
     p, size, n = F.col("k") / F.col("n"), F.col("size"), F.col("n")
     spread = F.when(n > 1, p * (1 - p) / (n - 1) * (1 - n / size)).otherwise(0.0)
     return used.agg((F.sum(size * p) / F.sum(size)).alias("estimate"), (F.sqrt(F.sum(size * size * spread)) / F.sum(size)).alias("se"))
-
-
-# control words
-
-
-def misread(word: Column, pairs: list[tuple[str, str]], unit: Column) -> Column:
-    """The word with one site of a pair's first part replaced by the second, chosen by unit in [0, 1); null without a site."""
-    at = lambda a: F.filter(F.sequence(F.lit(1), F.length(word)), lambda i: F.substr(word, i, F.lit(len(a))) == a)
-    sites = F.concat(*[F.transform(at(a), lambda i: F.concat(F.left(word, i - 1), F.lit(b), F.substr(word, i + len(a)))) for a, b in pairs])
-    n = F.size(sites)
-    return F.when(n > 0, F.get(sites, F.least(F.floor(unit * n), n - 1).cast("int")))

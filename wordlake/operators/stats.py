@@ -28,3 +28,58 @@ def hash_sample(frame: DataFrame, seed: str, stratum: str, key: str, n: int) ->
 def running(total: Column, *order: Column) -> Column:
     """Cumulative sum over a small, aggregated table."""
     return F.sum(total).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def growth(log: DataFrame) -> DataFrame:
+    """One row on a log (day, raw), one row a day: days with and without a recorded total, the first and last total, and the changes between recorded days.
+
+    What is no plain number is not recorded, and never counts as zero.
+    """
+    total = F.when(F.col("raw").rlike(r"^\d+\z"), F.col("raw").cast("long"))
+    known = F.col("total").isNotNull()
+    every = log.select("day", total.alias("total"))
+    before = F.last("total", ignorenulls=True).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1))
+    every = every.withColumn("delta", F.when(known, F.col("total") - before))
+    return every.agg(
+        F.min(F.when(known, F.col("day"))).cast("string").alias("recorded_from"), F.max(F.when(known, F.col("day"))).cast("string").alias("recorded_to"), F.count("total").alias("days_recorded"),
+        F.count_if(~known).alias("days_unrecorded"), F.min_by("total", F.when(known, F.col("day"))).alias("first"), F.max_by("total", F.when(known, F.col("day"))).alias("last"), F.count_if(F.col("delta") != 0).alias("events"),
+    )
+
+
+def auc_interval(area: Column, positives: Column, negatives: Column, z: float = 1.96) -> tuple[Column, Column]:
+    """Bounds by the Hanley-McNeil standard error."""
+    one, two = area / (2 - area), 2 * area * area / (1 + area)
+    spread = (area * (1 - area) + (positives - 1) * (one - area * area) + (negatives - 1) * (two - area * area)) / (positives * negatives)
+    se = F.sqrt(F.greatest(spread, F.lit(1e-12)))
+    return area - z * se, area + z * se
+
+
+def deciles(scores: DataFrame, column: str) -> DataFrame:
+    """(bin, low, high, n): ten bins between the exact deciles, half open but for the last.
+
+    Edges and bins come from the counts of the distinct scores.
+    """
+    by = scores.groupBy(column).agg(F.count("*").alias("k"))
+    edges = by.agg(F.percentile(column, F.array(*[F.lit(i / 10) for i in range(11)]), F.col("k")).alias("edges"))  # one row
+    bins = F.explode(F.sequence(F.lit(1), F.lit(10))).alias("bin")
+    table = edges.select("edges", bins).select("bin", F.element_at("edges", F.col("bin")).alias("low"), F.element_at("edges", F.col("bin") + 1).alias("high"))
+    x = F.col(column)
+    inside = (x >= F.col("low")) & ((x < F.col("high")) | ((F.col("bin") == 10) & (x == F.col("high"))))
+    filled = by.join(F.broadcast(table), inside).groupBy("bin").agg(F.sum("k").alias("n"))  # ten rows
+    return table.join(filled, "bin", "left").select("bin", F.round("low", 9).alias("low"), F.round("high", 9).alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def row_index(keys: DataFrame, column: str, digits: int = 2) -> DataFrame:
+    """(column, index): the place of each distinct key in sorted order, by counts per first letters and numbers within them, without a global sort."""
+    keys = keys.withColumn("head", F.left(F.col(column), F.lit(digits)))
+    heads = keys.groupBy("head").agg(F.count("*").alias("n"))  # a row for each beginning
+    before = F.coalesce(F.sum("n").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = keys.withColumn("place", F.row_number().over(Window.partitionBy("head").orderBy(column)) - 1)
+    return own.join(heads.select("head", before.alias("before")), "head").select(column, (F.col("before") + F.col("place")).alias("index"))
+
+
+def tripwires(metrics: DataFrame, bounds: dict[str, tuple[str, float | None, float | None]]) -> DataFrame:
+    """(metric, value, tripped) of a row of metrics against bounds (column, least, most), all of them at once."""
+    out = lambda c, low, high: (F.lit(False) if low is None else F.col(c) < low) | (F.lit(False) if high is None else F.col(c) > high)
+    each = [F.struct(F.lit(name).alias("metric"), F.col(c).cast("double").alias("value"), out(c, low, high).alias("tripped")) for name, (c, low, high) in bounds.items()]
+    return metrics.select(F.explode(F.array(*each)).alias("m")).select("m.*")

@@ -1,5 +1,5 @@
-"""Registered queries with their SQL; importing fits adds its queries to the same tables."""
+"""Registered queries with their SQL; importing the other modules adds their queries to the same tables."""
 
-from . import fits, queries
+from . import features, fits, queries, records
 
-__all__ = ["fits", "queries"]
+__all__ = ["features", "fits", "queries", "records"]

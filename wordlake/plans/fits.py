@@ -63,15 +63,6 @@ def _(spark, sf_dir):
     return found.groupBy("listed").agg(F.count_if(F.col("posterior") >= 0.5).alias("likely"), F.count_if(F.col("posterior") < 0.5).alias("unlikely"))
 
 
-@on_words(
-    "f33_rank_law",
-    """, c as (select n_tokens, count(*) as k from words group by 1), r as (select log10(n_tokens) as y, 1 + coalesce(sum(k) over (order by n_tokens desc rows between unbounded preceding and 1 preceding), 0) as rank from c),
-e as (select y, beta, log10(rank + beta) as x from r, (select unnest([0, 1, 2, 5, 10, 20, 50, 100]::double[]) as beta))
-select beta, round(-regr_slope(y, x), 6) as alpha, round(regr_intercept(y, x), 6) as log_c, round(regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x), 6) as sse from e group by beta""",
-)
-def _(w):
-    return models.rank_law(w).select("beta", *[F.round(c, 6).alias(c) for c in ("alpha", "log_c", "sse")])
-
 
 @on_tables("f42_recapture", f"with {WORDS_SQL}, {_PATTERN} select *, round((only_first + \"both\" + 1) * (only_second + \"both\" + 1) / (\"both\" + 1) - 1, 6) as estimate from (select count(*) filter (a and not b) as only_first, count(*) filter (b and not a) as only_second, count(*) filter (a and b) as \"both\" from (select pattern & 63 > 0 as a, pattern & 4032 > 0 as b from evidence))")
 def _(spark, sf_dir):
@@ -99,7 +90,7 @@ def _(w):
     return by.groupBy("pos").agg(F.min(F.struct((-F.col("n")).alias("less"), "letter")).alias("top")).select("pos", "top.letter", (-F.col("top.less")).alias("n"))
 
 
-@on_words("f48_comparatives", "select stem, string_agg(form, ',' order by form) as forms, count(*) as n from (select f.word as form, s.word as stem from words f join words s on f.word in (s.word || 'er', s.word || 'est') where length(f.word) > 4) group by stem")
+@on_words("f48_comparatives", "select stem, string_agg(form, ',' order by form) as forms, count(*) as n from (select f.word as form, s.word as stem from words f join words s on f.word = s.word || 'er' where length(f.word) > 4 union all select f.word, s.word from words f join words s on f.word = s.word || 'est' where length(f.word) > 4) group by stem")
 def _(w):
     form = F.col("word")
     cut = w.where((F.length(form) > 4) & form.rlike("(er|est)$")).select(form.alias("form"), F.regexp_replace(form, "(er|est)$", "").alias("stem"))
@@ -121,21 +112,6 @@ def _(w):
     return by.select("letter", "n", (F.col("whole") + more.cast("long")).alias("target"))
 
 
-#: Letter groups that scans confuse.
-CONFUSED = [("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("li", "h"), ("h", "li")]
-_SITES = ", ".join(f"list_transform(list_filter(range(1, length(word) + 1), lambda i: substr(word, i, {len(a)}) = '{a}'), lambda i: left(word, i - 1) || '{b}' || substr(word, i + {len(a)}))" for a, b in CONFUSED)
-
-
-@on_words(
-    "l23_misread_controls",
-    f", s as (select word, flatten([{_SITES}]) as sites, ('0x' || substr(sha256('ocr:' || word), 1, 16))::ubigint::double / 18446744073709551616.0 as unit from words where n_sources >= 3) "
-    "select word, control from (select word, sites[least(floor(unit * len(sites))::bigint + 1, len(sites))] as control from s where len(sites) > 0) where control not in (select word from words)",
-)
-def _(w):
-    made = w.where("n_sources >= 3").select("word", models.misread(F.col("word"), CONFUSED, fn.unit_hash(F.concat(F.lit("ocr:"), "word"))).alias("control"))
-    return made.where("control is not null").join(w.select(F.col("word").alias("control")), "control", "left_anti").select("word", "control")
-
-
 @on_words(
     "k35_quality",
     """, l as (select word, length(word) as length, unnest(string_split(word, '')) as letter, generate_subscripts(string_split(word, ''), 1) as pos from words),

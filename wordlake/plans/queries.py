@@ -152,12 +152,6 @@ def _(spark, sf_dir):
     return yearly(spark, sf_dir).groupBy("w").agg(F.sum("match").alias("total_match"), F.sum("volume").alias("total_volume"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.least(F.count("*"), span.cast("long")).alias("year_count"))
 
 
-@on_words("f15_affix_table", "select kind, affix, count(*) as types, sum(n_tokens)::bigint as tokens, count(*) filter (n_tokens = 1) as hapaxes, min(n_tokens)::bigint as least from (select 'suffix' as kind, right(word, 3) as affix, n_tokens from words where length(word) > 5 union all select 'prefix', left(word, 2), n_tokens from words where length(word) > 5) group by all")
-def _(w):
-    long = w.where(F.length("word") > 5)
-    each = long.select("n_tokens", F.explode(F.array(F.struct(F.lit("suffix").alias("kind"), F.right("word", F.lit(3)).alias("affix")), F.struct(F.lit("prefix").alias("kind"), F.left("word", F.lit(2)).alias("affix")))).alias("a"))
-    return each.groupBy("a.kind", "a.affix").agg(F.count("*").alias("types"), F.sum("n_tokens").alias("tokens"), F.count_if(F.col("n_tokens") == 1).alias("hapaxes"), F.min("n_tokens").alias("least"))
-
 
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(word, pattern): twelve detectors (sources 0 to 11) as bits, by one aggregation."""
@@ -314,21 +308,6 @@ def _(w):
     return lists.reconcile(w.where("n_sources >= 2"), w.where("n_sources >= 3"), w.where("n_tokens < 4"), none)
 
 
-@on_words("e06_first_stem", "select form, stem from (select form, stem, row_number() over (partition by form order by pos) as r from (select f.word as form, c.stem, c.pos from words f, lateral (select unnest([left(f.word, length(f.word) - 2), left(f.word, length(f.word) - 1), left(f.word, length(f.word) - 3)]) as stem, unnest([0, 1, 2]) as pos) c join words s on s.word = c.stem where ends_with(f.word, 'er') and length(f.word) > 4)) where r = 1")
-def _(w):
-    word, n = F.col("word"), F.length("word")
-    stems = F.array(F.left(word, n - 2), F.left(word, n - 1), F.left(word, n - 3))
-    forms = w.where(word.endswith("er") & (n > 4)).select(word.alias("form"), F.posexplode(stems).alias("pos", "stem"))
-    return forms.join(w.select(word.alias("stem")), "stem").groupBy("form").agg(F.min_by("stem", "pos").alias("stem"))
-
-
-@on_words("e08_ocr_neighbours", "select distinct w.word, s.word as neighbour from (select word, a, b, unnest(generate_series(1, length(word))) as i from words, (values ('rn', 'm'), ('m', 'rn'), ('cl', 'd'), ('d', 'cl'), ('in', 'm'), ('li', 'h'), ('an', 'on')) as p(a, b)) w join words s on substr(w.word, i, length(a)) = a and s.word = left(w.word, i - 1) || b || substr(w.word, i + length(a)) where s.n_docs >= 3")
-def _(w):
-    pairs = [("rn", "m"), ("m", "rn"), ("cl", "d"), ("d", "cl"), ("in", "m"), ("li", "h"), ("an", "on")]
-    word = F.col("word")
-    at = lambda a, b: F.transform(F.filter(F.sequence(F.lit(1), F.length(word)), lambda i: F.substr(word, i, F.lit(len(a))) == a), lambda i: F.concat(F.left(word, i - 1), F.lit(b), F.substr(word, i + len(a))))
-    made = w.select("word", F.explode(F.array_distinct(F.concat(*[at(a, b) for a, b in pairs]))).alias("neighbour"))
-    return made.join(w.where("n_docs >= 3").select(word.alias("neighbour")), "neighbour", "left_semi").select("word", "neighbour")
 
 
 @on_words("e14_suggestions", ", part as (select word, intake, left(word, i) || substr(word, i + 2) as k from (select word, intake, unnest(generate_series(0, length(word) - 1)) as i from words where intake in ('pipeline', 'twl')) union select word, intake, word from words where intake in ('pipeline', 'twl')) select distinct a.word, b.word as suggestion from part a join part b using (k) where a.intake = 'pipeline' and b.intake = 'twl' and damerau_levenshtein(a.word, b.word) = 1")
@@ -343,12 +322,6 @@ def _(spark, sf_dir):
     return each.groupBy("word").agg(F.count("*").alias("n")).select("word", fn.form_reason(F.col("word"), 2, 12).alias("reason"), "n")
 
 
-@on_words("d22_priority_tiers", "select (least(100, greatest(0, s)) // 5 * 5)::int as tier, count(*) as n from (select 40 + case when length(word) between 5 and 8 then 20 when length(word) > 12 then -15 else 0 end + case when starts_with(word, 'un') or starts_with(word, 're') then 10 else 0 end + case when ends_with(word, 'ing') or ends_with(word, 'ed') or ends_with(word, 'er') then 15 else 0 end + case when length(regexp_replace(word, '[^aeiou]', '', 'g')) / length(word) between 0.3 and 0.5 then 10 else 0 end as s from words) group by 1")
-def _(w):
-    n, word = F.length("word"), F.col("word")
-    score = F.lit(40) + F.when(n.between(5, 8), 20).when(n > 12, -15).otherwise(0) + F.when(word.rlike("^(un|re)"), 10).otherwise(0) + F.when(word.rlike("(ing|ed|er)$"), 15).otherwise(0) + F.when(fn.vowel_ratio(word).between(0.3, 0.5), 10).otherwise(0)
-    return w.groupBy((F.floor(F.least(F.lit(100), F.greatest(F.lit(0), score)) / 5) * 5).cast("int").alias("tier")).agg(F.count("*").alias("n"))
-
 
 @on_words("k36_hash_units", "select word, substr(sha256(word), 1, 16) as rank_key, round(('0x' || substr(sha256('split:' || word), 1, 16))::ubigint::double / 18446744073709551616.0, 12) as unit, case when ('0x' || substr(sha256('split:' || word), 1, 16))::ubigint::double / 18446744073709551616.0 < 0.7 then 'train' when ('0x' || substr(sha256('split:' || word), 1, 16))::ubigint::double / 18446744073709551616.0 < 0.8 then 'dev' else 'test' end as part from words")
 def _(w):
@@ -362,10 +335,6 @@ def _(w):
     return w.select("word", fn.fnv1a(F.col("word")).alias("h")).withColumn("shard", (F.col("h") % 512).cast("int"))
 
 
-@on_words("l08_dispersion", "select word, round(n_tokens / n_docs, 9) as tokens_per_volume, round(log10(n_tokens), 9) as log_match, round(log10(n_docs), 9) as log_volume, round(n_docs / n_sources, 9) as volumes_per_year from words")
-def _(w):
-    return w.select("word", F.round(F.col("n_tokens") / F.col("n_docs"), 9).alias("tokens_per_volume"), F.round(F.log10("n_tokens"), 9).alias("log_match"), F.round(F.log10("n_docs"), 9).alias("log_volume"), F.round(F.col("n_docs") / F.col("n_sources"), 9).alias("volumes_per_year"))
-
 
 @on_tables("a27_html_words", "select page_id, count(*) as links from (select page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) as link from pages) group by page_id")
 def _(spark, sf_dir):
