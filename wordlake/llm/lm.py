@@ -89,10 +89,10 @@ def _classes(y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int
     return order, c, [(k, a, b) for k, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
 
 
-def _outputs(h: np.ndarray, y: np.ndarray, p: dict[str, np.ndarray]) -> np.ndarray:
-    """Natural log-probability of each target given the state before it."""
+def _outputs(h: np.ndarray, y: np.ndarray, p: dict[str, np.ndarray], at: np.ndarray | None = None) -> np.ndarray:
+    """Natural log-probability of each target given the state before it (a column of h, or that at a place of at)."""
     order, c, groups = _classes(y)
-    h, y = h[:, order], y[order]
+    h, y = h[:, order if at is None else at[order]], y[order]
     sums = _log_share(p["wc"].T @ h + p["bc"][:, None], c)
     for k, a, b in groups:
         sums[a:b] += _log_share(p["ww"][k].T @ h[:, a:b] + p["bw"][k][:, None], y[a:b] % PER)
@@ -157,11 +157,7 @@ def _gradients(x: np.ndarray, y: np.ndarray, real: np.ndarray, h: np.ndarray, p:
     ins, past, r = flat(ins), flat(past), flat(gates[:, STATE:])
     g["u"] = np.concatenate([past @ ins[: 2 * STATE].T, (r * past) @ ins[2 * STATE :].T], 1)
     g["wx"], g["b"] = read.T @ ins.T, ins.sum(1)
-    own = (p["wx"] @ ins).T
-    order = np.argsort(at.astype(np.uint16), kind="stable")
-    first = np.flatnonzero(np.diff(at[order], prepend=-1))
-    g["e"] = np.zeros_like(p["e"])
-    g["e"][at[order[first]]] = np.add.reduceat(own[order], first)
+    g["e"] = np.stack([np.bincount(at, row, START + 1) for row in p["wx"] @ ins], 1).astype(np.float32)
     return g, h
 
 
@@ -219,7 +215,7 @@ def log_likelihoods(documents: list[np.ndarray], p: dict[str, np.ndarray]) -> np
                 h = _step(x3[:, s * live : (s + 1) * live], h, ug, un, out=states[s])
             last = y[:, -1]
             step, at = np.nonzero((np.arange(steps) < (sizes[:live] - b)[:, None]).T)
-            logs = _outputs(states.transpose(1, 0, 2).reshape(STATE, -1)[:, step * live + at], y[at, step], p)
+            logs = _outputs(states.transpose(1, 0, 2).reshape(STATE, -1), y[at, step], p, step * live + at)
             total[own[:live]] += np.bincount(at, logs, live)
     return total
 
