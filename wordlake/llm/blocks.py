@@ -19,6 +19,8 @@ from .common import parallelism, rows, save
 
 #: Characters after which a block ends.
 BLOCK_CHARS = 8_000_000
+#: Characters after which texts are cut into words, as this takes many bytes a character.
+CUT_CHARS = 1_000_000
 #: Bytes of text for which there is one bucket; a bucket's task holds their distinct words.
 BUCKET_BYTES = 256 << 20
 WORDS = "block long, bucket int, n int, words binary, counts binary"
@@ -63,16 +65,27 @@ class Block:
 
     def __init__(self, tokens: Callable[[list[str]], tuple[pa.Array, np.ndarray]]):
         self.tokens = tokens
-        self.texts, self.ids, self.counted, self.chars = [], [], [], 0
+        self.texts, self.ids, self.counted, self.chars, self.uncut = [], [], [], 0, 0
+        self.found, self.sizes = [], []
 
     def add(self, doc_id, text: str | None, counted: bool = True) -> None:
         self.texts.append(text or ""), self.ids.append(doc_id), self.counted.append(counted)
         self.chars += len(self.texts[-1]) + 1
+        self.uncut += len(self.texts[-1]) + 1
+        if self.uncut >= CUT_CHARS:
+            self.cut()
+
+    def cut(self) -> None:
+        """The texts so far become words."""
+        found, sizes = self.tokens(self.texts)
+        self.found.append(found.cast(pa.large_binary())), self.sizes.append(sizes)
+        self.texts, self.uncut = [], 0
 
     def numbers(self) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """All documents' numbers, the words that they stand for, and each document's number of words; frequent words come first, which compresses well."""
-        found, sizes = self.tokens(self.texts)
-        coded = found.dictionary_encode()
+        self.cut()
+        coded, sizes = pa.concat_arrays(self.found).dictionary_encode(), np.concatenate(self.sizes)
+        self.found = []
         at = coded.indices.to_numpy(zero_copy_only=False)
         order = np.argsort(-np.bincount(at, minlength=len(coded.dictionary)), kind="stable")
         place = np.empty(len(order), np.uint32)
