@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 class RefusedError(Exception):
@@ -110,3 +111,16 @@ def guarded_overwrite(new: DataFrame, path: str, loaded: int, least: float = 0.5
     files.rename(draft, final)
     files.delete(old, True)
     return rows
+
+
+def numbered_log(log: DataFrame) -> DataFrame:
+    """A log (day, n), one row a day, with update numbers from 1 in the order of days."""
+    return log.withColumn("update_number", F.row_number().over(Window.orderBy("day")))
+
+
+def upsert_log(log: DataFrame, new: DataFrame) -> DataFrame:
+    """log (day, n, update_number) with the rows of new (day, n): known days keep their number, further ones are numbered on in the order of days."""
+    kept = log.join(new.withColumnRenamed("n", "__n"), "day", "left").select("day", F.coalesce("__n", "n").alias("n"), "update_number")
+    last = log.agg(F.coalesce(F.max("update_number"), F.lit(0)).alias("__last"))  # one row
+    more = numbered_log(new.join(log, "day", "left_anti")).join(F.broadcast(last), F.lit(True))
+    return kept.unionByName(more.select("day", "n", (F.col("update_number") + F.col("__last")).alias("update_number")))

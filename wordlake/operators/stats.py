@@ -83,3 +83,31 @@ def tripwires(metrics: DataFrame, bounds: dict[str, tuple[str, float | None, flo
     out = lambda c, low, high: (F.lit(False) if low is None else F.col(c) < low) | (F.lit(False) if high is None else F.col(c) > high)
     each = [F.struct(F.lit(name).alias("metric"), F.col(c).cast("double").alias("value"), out(c, low, high).alias("tripped")) for name, (c, low, high) in bounds.items()]
     return metrics.select(F.explode(F.array(*each)).alias("m")).select("m.*")
+
+
+def digest(rows: DataFrame, *columns: str, digits: int = 3) -> DataFrame:
+    """One row (digest, n): a hash of all rows that does not depend on their order; rows are dealt by the first hex digits of their own hash."""
+    each = rows.select(F.sha2(F.concat_ws(":", *columns), 256).alias("h"))
+    parts = each.groupBy(F.substring("h", 1, digits).alias("part")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("d"), F.count("*").alias("n"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("part", "d"))), lambda x: x["d"])  # 16 ** digits at most
+    return parts.agg(F.sha2(F.array_join(ordered, ""), 256).alias("digest"), F.sum("n").alias("n"))
+
+
+def reliability(scored: DataFrame, p: str, label: str, bins: int = 10) -> DataFrame:
+    """(bin, n, mean, rate, error_part) of equal bins of a probability; the parts add up to the expected calibration error."""
+    place = F.least(F.lit(bins - 1), F.floor(F.col(p) * bins)).cast("int")
+    by = scored.groupBy(place.alias("bin")).agg(F.count("*").alias("n"), F.avg(p).alias("mean"), (F.count_if(F.col(label)) / F.count("*")).alias("rate"))
+    part = F.col("n") / F.sum("n").over(Window.partitionBy()) * F.abs(F.col("mean") - F.col("rate"))  # over the bins
+    return by.select("bin", "n", F.round("mean", 9).alias("mean"), F.round("rate", 9).alias("rate"), F.round(part, 9).alias("error_part"))
+
+
+def agreement(pairs: DataFrame, test: str, truth: str) -> DataFrame:
+    """One row (n, kappa, sensitivity, specificity, prevalence) of a test against the truth; prevalence is corrected by Rogan and Gladen's rule."""
+    a, b = F.col(test), F.col(truth)
+    s = pairs.agg(F.count("*").alias("n"), F.count_if(a & b).alias("tp"), F.count_if(a & ~b).alias("fp"), F.count_if(b & ~a).alias("fn"), F.count_if(~a & ~b).alias("tn"))
+    over = lambda x, y: F.try_divide(x, y)
+    n, tp, fp, fn, tn = map(F.col, ("n", "tp", "fp", "fn", "tn"))
+    chance = over(tp + fp, n) * over(tp + fn, n) + over(fn + tn, n) * over(fp + tn, n)
+    sensitivity, specificity = over(tp, tp + fn), over(tn, tn + fp)
+    prevalence = over(over(tp + fp, n) + specificity - 1, sensitivity + specificity - 1)
+    return s.select("n", F.round(over(over(tp + tn, n) - chance, 1 - chance), 9).alias("kappa"), F.round(sensitivity, 9).alias("sensitivity"), F.round(specificity, 9).alias("specificity"), F.round(prevalence, 9).alias("prevalence"))

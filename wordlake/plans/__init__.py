@@ -1,5 +1,6 @@
 """Registered queries with their SQL; importing the other modules adds their queries to the same tables."""
 
 from . import features, fits, queries, records
+from . import classes  # after features, whose SQL it uses  # isort: skip
 
-__all__ = ["features", "fits", "queries", "records"]
+__all__ = ["classes", "features", "fits", "queries", "records"]
