@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm, near_dedup, packing, prefix_trie, quality, secrets, topk, toxicity, url_rules, vector_codes
+from . import bpe, exact_dedup, language, lm, near_dedup, packing, prefix_trie, quality, secrets, topk, toxicity, url_rules, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_toxicity, op4_lm_score, op5_best_fit_packing, op6_quality, op7_url_filter, op8_secret_scan, op9_topk_search, op10_byte_bpe, op11_prefix_trie, op12_vector_codes)}
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_exact_dedup, op3_toxicity, op4_lm_score, op5_best_fit_packing, op6_quality, op7_url_filter, op8_secret_scan, op9_topk_search, op10_byte_bpe, op11_prefix_trie, op12_vector_codes, op13_language)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
@@ -111,7 +115,8 @@ ORACLE_SQL = {
         prefix as (select conv_id, len(s) as n, d, list_slice(s, 1, d) as k from (select *, unnest(range(0, len(s) + 1)) as d from made)),
         node as materialized (
             select k, d, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = d), '')) as ends_sha256,
-                   list_slice(k, 1, d - 1) as up, (count(*) - 1) * coalesce(len(regexp_extract_all(k[d].text, '[^ 	-]+')), 0) as own
+                   list_slice(k, 1, d - 1) as up, (count(*) - 1) * coalesce(len(regexp_extract_all(k[d].text, '[^ 	-
+]+')), 0) as own
             from prefix group by k, d),
         kids as (select up as k, count(*) as n from node where d > 0 group by up),
         below as (
