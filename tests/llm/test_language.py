@@ -72,6 +72,15 @@ def test_nothing_to_learn_from(spark):
     assert [r["lang_pred"] for r in language.languages(spark.createDataFrame([(one, "abc", "xx", "", 1, ""), (one, "q", "xx", "", 1, "")], SCHEMA)).collect()] == ["xx", "xx"]
 
 
+def test_sample_is_bounded_and_even(spark):
+    rows = [(i, f"text {i}", "ka", "", 1, "") for i in range(2000)] + [(5, "text 5", "ka", "", 1, "")] * 3000 + [(i, f"text {i}", "mo", "", 1, "") for i in range(30)]
+    known = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "xxhash64(doc_id, text) as __hash")
+    got = [r["lang"] + r["text"] for r in language.sampled(known, {"ka": 2 * 100 / 2000, "mo": 2 * 100 / 30}, 100).collect()]
+    assert len(set(got)) == len(got) == 130
+    least = known.where("lang = 'ka'").select("__hash", "text").distinct().orderBy("__hash").limit(100).collect()
+    assert {"ka" + r["text"] for r in least} == {x for x in got if x.startswith("ka")}
+
+
 def test_document_frequencies(spark, monkeypatch):
     monkeypatch.setattr(language, "FAN_IN", 2)
     texts = [t for _, t, *_ in documents(60)] + ["", "7"]

@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .blocks import squeezed, unsqueezed
-from .common import columns_of, crc_remainder, only_ids, rows, save
+from .common import columns_of, crc_remainder, rows, save
 
 #: Numbers of n-grams (as a power of two) and the longest n-gram.
 BITS, LONGEST = 16, 4
 BUCKETS = 1 << BITS
-#: Training documents of each language at most, by the order of their ids' hashes.
+#: Training documents of each language at most, by the order of their hashes.
 PER_LANG = 1500
+#: How many times the wanted rows are looked at to find those of the least hashes.
+SPARE = 2
 EPOCHS, SCALE = 2, 100.0
 #: Of the learning: step size, its damping, and the penalties on absolute and squared weights.
 ALPHA, BETA, L1, L2 = 0.1, 1.0, 0.5, 1.0
@@ -209,27 +211,39 @@ def logits(text: str, weights: np.ndarray, bias: np.ndarray) -> np.ndarray | Non
     return total / n + bias if n else None
 
 
+def sampled(known: DataFrame, shares: dict[str, float], per_lang: int) -> DataFrame:
+    """(lang, text): of each language the per_lang distinct rows of the least hashes.
+
+    Rows beyond a share of the hashes' range, which leaves SPARE times as many as
+    wanted, are dropped before languages are gathered, so a large language costs
+    no task more than a small one.
+    """
+    tight = {x: s for x, s in shares.items() if s < 1}
+    bound = F.create_map(*[F.lit(y) for x, s in tight.items() for y in (x, int(s * 2**64) - 2**63)])[F.col("lang")] if tight else F.lit(None).cast("long")
+    few = known.where(bound.isNull() | (F.col("__hash") < bound)).groupBy("lang", "__hash").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("__hash")
+    return few.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= per_lang).select("lang", "text")
+
+
 def languages(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score.
 
     Learned from are text and lang, both not null, of rows whose crc32(doc_id
     as text) mod 4 is not 2: document frequencies from all of them, weights from
-    at most per_lang of each language in the order of their ids' hashes (rows
-    that repeat a sampled id come with it; texts without a letter teach nothing).  A null text and one without a
-    letter are `und` with a score of 0; so is every text if there is nothing to
-    learn from.  The score is the calibrated probability of lang_pred.  Repeated
-    rows and null ids are scored like any other; other columns are not read.
-    Runs jobs when called.
+    at most per_lang distinct (doc_id, text) of each language, in the order of
+    their hashes (texts without a letter teach nothing).  A null text and one
+    without a letter are `und` with a score of 0; so is every text if there is
+    nothing to learn from.  The score is the calibrated probability of lang_pred.
+    Repeated rows and null ids are scored like any other; other columns are not
+    read.  Runs jobs when called.
     """
     source = columns_of(docs, "doc_id", "text", "lang")
-    known = source.where((crc_remainder("doc_id", 4) != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    shares = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row a language
-    langs = sorted(shares)
-    priors = np.array([shares[x] for x in langs]) / max(1, sum(shares.values()))
+    known = source.where((crc_remainder("doc_id", 4) != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull()).withColumn("__hash", F.xxhash64("doc_id", "text"))
+    sizes = {r["lang"]: (r["n"], r["distinct"]) for r in known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("__hash").alias("distinct")).collect()}  # a row a language
+    langs = sorted(sizes)
+    priors = np.array([sizes[x][0] for x in langs]) / max(1, sum(n for n, _ in sizes.values()))
     frequencies = document_frequencies(known)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = save(known.select("doc_id", "lang").withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= per_lang).select("doc_id", "lang"))
-    sample = only_ids(known.where("doc_id is not null"), picked.where("doc_id is not null"), "doc_id")
+    sample = sampled(known, {x: SPARE * per_lang / max(1, d) for x, (_, d) in sizes.items()}, per_lang)
     number = {x: i for i, x in enumerate(langs)}
     idf = inverse(frequencies)
 
