@@ -1,9 +1,10 @@
 import datetime
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from wordlake.operators import classes, lists, stats
+from wordlake.operators import classes, lists, priors, stats
 
 
 def test_logistic_prior_is_found(spark):
@@ -14,10 +15,11 @@ def test_logistic_prior_is_found(spark):
     rates = np.where(own[:, None], 0.8, 0.15)
     patterns = ((draw.random((6000, 6)) < rates) << np.arange(6)).sum(1)
     frame = spark.createDataFrame(list(zip(patterns.tolist(), x.tolist())), "pattern int, x double")
-    got = {(r["class"], r["name"]): r["value"] for r in classes.logistic_classes(frame, 6, ["x"]).collect()}
-    assert abs(got["prior", "constant"] - 0.5) < 0.2 and abs(got["prior", "x"] - 1.2) < 0.2
-    assert all(abs(got["first", f"d{j}"] - 0.8) < 0.05 and abs(got["second", f"d{j}"] - 0.15) < 0.05 for j in range(6))
-    assert classes.logistic_classes(frame.where("false"), 6, ["x"]).count() == 14
+    found = priors.class_priors(frame, 6, ["x"], 2)
+    assert abs(found.weights[0, 0] - 0.5) < 0.2 and abs(found.weights[0, 1] - 1.2) < 0.2
+    assert np.abs(found.rates - [[0.8] * 6, [0.15] * 6]).max() < 0.05
+    with pytest.raises(ValueError):
+        priors.class_priors(frame.where("false"), 6, ["x"], 2)
 
 
 def test_em_step_is_that_of_numpy(spark):

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from wordlake.operators import models
+from wordlake.operators import mixtures, models
 from wordlake.plans.queries import QUERIES, evidence
 
 DATA = "/root/testdata/sf0.001"
@@ -64,15 +64,12 @@ def test_latent_classes_recover_a_simulated_world(spark):
     rates = np.array([[0.9, 0.8, 0.7, 0.85, 0.6], [0.1, 0.05, 0.2, 0.1, 0.15]])
     fires = rng.random((20000, 5)) < np.where(good[:, None], rates[0], rates[1])
     patterns = spark.createDataFrame([(int(x),) for x in fires @ (1 << np.arange(5))], "pattern int")
-    bits, n = models.collapse(patterns, 5)
-    assert len(n) <= 32 and n.sum() == 20000
-    found = models.latent_classes(bits, n)
-    assert abs(found["share"] - 0.3) < 0.02 and np.abs(found["rates"] - rates).max() < 0.05
-    starts = models.multistart(spark, bits, n, 6).collect()
-    assert len(starts) == 6 and max(r["loglik"] for r in starts) - min(r["loglik"] for r in starts) < 0.01
-    scored = models.posterior(patterns, 5)
+    cells, model = mixtures.collapsed(patterns, 5), mixtures.Independent(5)
+    assert cells.count() <= 32 and mixtures.rows_of(cells) == 20000
+    found = mixtures.fit(cells, model)
+    assert abs(mixtures.logistic(found.x[:1])[0] - 0.3) < 0.02 and np.abs(model.rates(found.x) - rates).max() < 0.05
+    scored = patterns.join(mixtures.posteriors(cells, model, found.x), "pattern")
     assert scored.count() == 20000 and abs(scored.agg(F.avg("posterior")).first()[0] - 0.3) < 0.02
-    assert models.posterior(patterns.where("false"), 5).count() == 0
 
 
 def test_posterior_query_covers_every_word(spark):

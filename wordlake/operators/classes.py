@@ -1,4 +1,4 @@
-"""Latent classes as Spark aggregations: posteriors as columns, sums per round, a prior that depends on features."""
+"""One round of a latent-class model as Spark aggregations: posteriors as columns, expected firings, products on edges."""
 
 from __future__ import annotations
 
@@ -43,42 +43,3 @@ def edge_counts(cells: DataFrame, edges: Sequence[tuple[int, int]]) -> DataFrame
 
 def bic(sse: Column, n: int, parameters: int) -> Column:
     return n * F.log(sse / n) + parameters * float(np.log(n))
-
-
-def logistic_classes(frame: DataFrame, detectors: int, features: list[str], rounds: int = 30) -> DataFrame:
-    """(class, name, value): rates of both classes and the coefficients of the first class's log-odds.
-
-    frame has pattern and features.  EM in which each round is one aggregation
-    over the distinct rows: expected firings, and gradient and Gram matrix of one
-    Newton step on the prior.  What returns to the driver has a fixed size; rows
-    with a null are left out.  The first class starts as the one that fires more.
-    """
-    rows = frame.select("pattern", *features).dropna().groupBy("pattern", *features).agg(F.count("*").alias("n")).cache()
-    first, second, beta = np.full(detectors, 0.6), np.full(detectors, 0.2), np.zeros(len(features) + 1)
-    x = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
-    n, size = F.col("n"), len(features) + 1
-    pairs = [(i, k) for i in range(size) for k in range(i, size)]
-    try:
-        for _ in range(rounds):
-            line = sum((x[i] * float(beta[i]) for i in range(1, size)), F.lit(float(beta[0])))
-            own = rows.withColumn("prior", sigmoid(line)).withColumn("post", sigmoid(line + log_odds(F.col("pattern"), first, second)))
-            gain, spread = n * (F.col("post") - F.col("prior")), n * F.col("prior") * (1 - F.col("prior"))
-            sums = own.agg(
-                F.sum(n), F.sum(n * F.col("post")), *[F.sum(n * bit(F.col("pattern"), j)) for j in range(detectors)], *[F.sum(n * F.col("post") * bit(F.col("pattern"), j)) for j in range(detectors)],
-                *[F.sum(gain * c) for c in x], *[F.sum(spread * x[i] * x[k]) for i, k in pairs],
-            ).first()
-            if not sums[0]:
-                break
-            every, mass = float(sums[0]), float(sums[1])
-            fired, fired_first = (np.array(sums[a : a + detectors], float) for a in (2, 2 + detectors))
-            at = 2 + 2 * detectors
-            gradient, gram = np.array(sums[at : at + size], float), np.eye(size) * 1e-6
-            for (i, k), value in zip(pairs, sums[at + size :]):
-                gram[i, k] = gram[k, i] = value + (1e-6 if i == k else 0)
-            first, second = (fired_first + 1) / (mass + 2), (fired - fired_first + 1) / (every - mass + 2)
-            beta = beta + np.clip(np.linalg.solve(gram, gradient), -2, 2)
-    finally:
-        rows.unpersist()
-    made = [(c, f"d{j}", float(v)) for c, rates in (("first", first), ("second", second)) for j, v in enumerate(rates)]
-    made += [("prior", name, float(v)) for name, v in zip(["constant", *features], beta)]
-    return frame.sparkSession.createDataFrame(made, "class string, name string, value double")

@@ -1,15 +1,12 @@
-"""Models fitted on counts: character models, latent classes, rank laws, control words.
+"""Models fitted on counts: character models, rank laws, capture and recapture.
 
 The counts are Spark aggregations over all rows.  What reaches the driver is
-bounded by the model's form, not by the data: at most 2**K patterns for K
-detectors, a few sums per iteration for interpolation weights, eight fits of a
-rank law.
+bounded by the model's form, not by the data: a few sums per iteration for
+interpolation weights, eight fits of a rank law.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,73 +88,51 @@ def word_scores(shares: DataFrame, weights: list[float], floor: float = 1e-12) -
     return shares.groupBy("word").agg(F.sum(p).alias("log10_p"), F.avg(p).alias("per_char"))
 
 
-# latent classes
-
-
-def collapse(patterns: DataFrame, detectors: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bits (cells x detectors) and counts of the patterns in use: at most 2**detectors rows."""
-    if detectors > 16:
-        raise ValueError("more than 65,536 cells are not collected")
-    cells = patterns.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
-    ids = np.array([r["pattern"] for r in cells], np.int64)
-    return ((ids[:, None] >> np.arange(detectors)) & 1).astype(float), np.array([r["n"] for r in cells], float)
+#: The characters in the order in which cumulative shares add them up, the end mark last; letters of a sampled word at most.
+CHARACTERS = "abcdefghijklmnopqrstuvwxyz$"
+LONGEST_SAMPLE = 24
 
 
-def _start(seed: str, n: int) -> np.ndarray:
-    """n numbers in (0, 1) from SHA-256, the same on every run."""
-    return np.array([(int(hashlib.sha256(f"{seed}:{i}".encode()).hexdigest()[:16], 16) + 0.5) / 2**64 for i in range(n)])
+def next_characters(model: DataFrame, weights: list[float]) -> DataFrame:
+    """(h3, cumulative): for every history of the longest order the cumulative mixed shares of CHARACTERS; the alphabet bounds the rows (18,279)."""
+    letters = F.explode(F.split(F.lit(CHARACTERS[:-1]), "")).alias("x")
+    histories = model.sparkSession.range(1).select(F.lit("^" * (ORDERS - 1)).alias("h3"))
+    grown = histories
+    for _ in range(ORDERS - 1):
+        grown = grown.select("h3", letters).select(F.concat(F.substring("h3", 2, ORDERS - 2), "x").alias("h3"))
+        histories = histories.unionByName(grown)
+    kinds = histories.select("h3", F.posexplode(F.split(F.lit(CHARACTERS), "")).alias("place", "c"))
+    of = {k: F.right("h3", F.lit(k)) if k else F.lit("") for k in range(ORDERS)}
+    kinds = kinds.select("*", *[of[k].alias(f"__h{k}") for k in range(ORDERS)])
+    seen = model.select("k", "history").distinct()
+    for k in range(ORDERS):
+        hit = model.where(F.col("k") == k).select(F.col("history").alias(f"__h{k}"), "c", F.col("p").alias("hit"))
+        known = seen.where(F.col("k") == k).select(F.col("history").alias(f"__h{k}"), F.lit(0.0).alias("zero"))
+        kinds = kinds.join(hit, [f"__h{k}", "c"], "left").join(known, f"__h{k}", "left").withColumn(f"p{k}", F.coalesce("hit", "zero")).drop("hit", "zero")
+    share = mixed(F.array(F.lit(1.0 / ALPHABET), *[F.col(f"p{k}") for k in range(ORDERS)]), weights)
+    own = Window.partitionBy("h3").orderBy("place")
+    by = kinds.select("h3", "place", F.sum(share).over(own).alias("upto"))
+    return by.groupBy("h3").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "upto"))), lambda x: x["upto"]).alias("cumulative"))
 
 
-def latent_classes(bits: np.ndarray, n: np.ndarray, seed: str = "0", rounds: int = 500, tol: float = 1e-9) -> dict:
-    """Two classes with independent detectors, fitted by EM under Beta(2, 2) priors.
+def sample_words(tags: DataFrame, model: DataFrame, weights: list[float], unit, longest: int = LONGEST_SAMPLE) -> DataFrame:
+    """(tag, word): a word drawn from the model for each tag; unit(tag, i) gives the i-th number in [0, 1) of a tag, so draws repeat.
 
-    Returns the share of the first class, rates (2 x detectors), the posterior
-    of each cell and the log-likelihood; the class whose detectors fire more
-    often is the first.
+    A round adds a character to all words that have not ended: the history's
+    cumulative shares, broadcast, are searched for the word's number.  Rounds
+    are chained in one stage, without a shuffle.
     """
-    k = bits.shape[1]
-    u = _start(seed, 2 * k)
-    rates = np.stack([0.5 + 0.4 * u[:k], 0.1 + 0.4 * u[k:]])
-    share, before = 0.5, -np.inf
-    for _ in range(rounds):
-        joint = np.log([share, 1 - share])[:, None] + np.log(rates) @ bits.T + np.log1p(-rates) @ (1 - bits.T)
-        cell = np.logaddexp(joint[0], joint[1])
-        loglik = float(n @ cell)
-        post = np.exp(joint - cell)
-        mass = post * n
-        # modes under Beta(2, 2): one success and one failure more
-        share = float((mass[0].sum() + 1) / (n.sum() + 2))
-        rates = (mass @ bits + 1) / (mass.sum(1)[:, None] + 2)
-        prior = float(np.log(rates).sum() + np.log1p(-rates).sum() + np.log(share) + np.log1p(-share))
-        if abs(loglik + prior - before) < tol * max(1.0, abs(before)):
-            break
-        before = loglik + prior
-    if rates[0].mean() < rates[1].mean():
-        share, rates, post = 1 - share, rates[::-1], post[::-1]
-    return {"share": share, "rates": rates, "posterior": post[0], "loglik": loglik}
-
-
-def multistart(spark, bits: np.ndarray, n: np.ndarray, starts: int = 50) -> DataFrame:
-    """(start, loglik, share) of independent fits, one a task; the cells are shipped with the function."""
-    import pandas as pd
-
-    def fit(batches):
-        for batch in batches:
-            fits = [latent_classes(bits, n, seed=str(i)) for i in batch["id"]]
-            yield pd.DataFrame({"start": batch["id"], "loglik": [f["loglik"] for f in fits], "share": [f["share"] for f in fits]})
-
-    return spark.range(0, starts, 1, min(starts, 64)).mapInPandas(fit, "start long, loglik double, share double")
-
-
-def posterior(patterns: DataFrame, detectors: int, seed: str = "0") -> DataFrame:
-    """patterns with the posterior of the first class; cells join back by broadcast, being at most 2**detectors."""
-    bits, n = collapse(patterns, detectors)
-    if not len(n):
-        return patterns.withColumn("posterior", F.lit(None).cast("double"))
-    cells = (bits @ (1 << np.arange(detectors))).astype(int)
-    found = latent_classes(bits, n, seed)["posterior"]
-    table = patterns.sparkSession.createDataFrame(list(zip(cells.tolist(), found.tolist())), "pattern int, posterior double")
-    return patterns.join(F.broadcast(table), "pattern")
+    table = tags.sparkSession.createDataFrame(next_characters(model, weights).toArrow())  # of the alphabet's size, and made once
+    state = tags.select("tag", F.lit("").alias("word"), F.lit("^" * (ORDERS - 1)).alias("h3"))
+    for i in range(longest):
+        # within a transform, so that the number is made once and not for each character
+        below = F.transform(F.array(unit(F.col("tag"), F.lit(i))), lambda u: F.size(F.filter("cumulative", lambda x: x < u)))[0]
+        place = F.least(below, F.lit(ALPHABET - 1)) + 1
+        c = F.substr(F.lit(CHARACTERS), place, F.lit(1))
+        state = state.join(F.broadcast(table), "h3", "left").withColumn("c", F.when(F.col("h3").isNull(), "$").otherwise(c))
+        ended = F.col("c") == "$"
+        state = state.select("tag", F.when(ended, F.col("word")).otherwise(F.concat("word", "c")).alias("word"), F.when(~ended, F.concat(F.substring("h3", 2, ORDERS - 2), "c")).alias("h3"))
+    return state.select("tag", "word")
 
 
 # rank laws and capture-recapture

@@ -111,3 +111,17 @@ def agreement(pairs: DataFrame, test: str, truth: str) -> DataFrame:
     sensitivity, specificity = over(tp, tp + fn), over(tn, tn + fp)
     prevalence = over(over(tp + fp, n) + specificity - 1, sensitivity + specificity - 1)
     return s.select("n", F.round(over(over(tp + tn, n) - chance, 1 - chance), 9).alias("kappa"), F.round(sensitivity, 9).alias("sensitivity"), F.round(specificity, 9).alias("specificity"), F.round(prevalence, 9).alias("prevalence"))
+
+
+def chosen_model(fits: DataFrame, rows: float) -> DataFrame:
+    """fits (model, parameters, loglik, and boolean gates) with bic, passed and chosen: the least BIC among those that pass all gates, ties by name.
+
+    fits has a row a model; no model is chosen where none passes.
+    """
+    gates = [c for c, kind in fits.dtypes if kind == "boolean"]
+    passed = F.lit(True)
+    for g in gates:
+        passed = passed & F.coalesce(F.col(g), F.lit(False))
+    judged = fits.withColumn("bic", -2 * F.col("loglik") + F.col("parameters") * F.log(F.lit(float(rows)))).withColumn("passed", passed)
+    place = F.row_number().over(Window.orderBy(F.desc("passed"), "bic", "model"))
+    return judged.withColumn("chosen", F.col("passed") & (place == 1))

@@ -2,5 +2,6 @@
 
 from . import features, fits, queries, records
 from . import classes  # after features, whose SQL it uses  # isort: skip
+from . import mixtures  # isort: skip
 
-__all__ = ["classes", "features", "fits", "queries", "records"]
+__all__ = ["classes", "features", "fits", "mixtures", "queries", "records"]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import words as fn
 from ..operators import classes, lists, stats
 from ..sources.files import first_seen
 from ..sources.lexicon import WORDS_SQL, table, words
@@ -162,9 +161,3 @@ def _(w):
 @on_words("b22_recheck_queue", "select word from words where intake = 'other' and n_docs = 1 union select word from words where llm_invalid")
 def _(w):
     return w.where("intake = 'other' and n_docs = 1").select("word").union(w.where("llm_invalid").select("word")).distinct()
-
-
-@on_tables("l13_logistic_prior")
-def _(spark, sf_dir):
-    frame = evidence(spark, sf_dir).select("pattern", (F.length("word") / 10).alias("length"), F.round(fn.vowel_ratio(F.col("word")), 1).alias("vowels"))
-    return classes.logistic_classes(frame, DETECTORS, ["length", "vowels"])

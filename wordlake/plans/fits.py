@@ -8,8 +8,9 @@ from pyspark.sql.window import Window
 
 from ..functions import words as fn
 from ..operators import models
-from ..sources.lexicon import WORDS_SQL, words
-from .queries import _PATTERN, evidence, on_tables, on_words
+from ..sources.lexicon import WORDS_SQL, table, tokens, words
+from . import records  # noqa: F401  # its SQL is used here
+from .queries import _PATTERN, ORACLE_SQL, QUERIES, evidence, on_tables, on_words
 
 #: Weights of the uniform model and of orders 1 to 4, fixed so that SQL can repeat the scores; l03_char_weights fits them.
 WEIGHTS = [0.01, 0.04, 0.15, 0.3, 0.5]
@@ -47,22 +48,64 @@ def _(w):
     return w.sparkSession.createDataFrame(list(enumerate(weights)), "k int, weight double")
 
 
-@on_tables("l10_latent_class")
+_SAMPLED = r""", l as (select unnest(string_split('abcdefghijklmnopqrstuvwxyz', '')) as x), c27 as (select unnest(range(1, 28)) as place, unnest(string_split('abcdefghijklmnopqrstuvwxyz$', '')) as c),
+padded as (select '^^^' || word || '$' as p, unnest(generate_series(4, length(word) + 4)) as j from words where n_sources >= 3),
+ev as (select substr(p, j, 1) as c, substr(p, j - 1, 1) as h1, substr(p, j - 2, 2) as h2, substr(p, j - 3, 3) as h3 from padded),
+m0 as (select c, count(*) / sum(count(*)) over () as p from ev group by c),
+m1 as (select h1, c, count(*) / sum(count(*)) over (partition by h1) as p from ev group by h1, c),
+m2 as (select h2, c, count(*) / sum(count(*)) over (partition by h2) as p from ev group by h2, c),
+m3 as (select h3, c, count(*) / sum(count(*)) over (partition by h3) as p from ev group by h3, c),
+hist as (select '^^^' as h3 union all select '^^' || x from l union all select '^' || a.x || b.x from l a, l b union all select a.x || b.x || d.x from l a, l b, l d),
+mix as (select hist.h3, place, (0.01 / 27 + 0.04 * coalesce(m0.p, 0) + 0.15 * coalesce(m1.p, 0) + 0.3 * coalesce(m2.p, 0) + 0.5 * coalesce(m3.p, 0))
+    / (0.05 + case when s1.h1 is not null then 0.15 else 0 end + case when s2.h2 is not null then 0.3 else 0 end + case when s3.h3 is not null then 0.5 else 0 end) as p
+    from hist cross join c27 left join m0 using (c) left join m1 on m1.h1 = right(hist.h3, 1) and m1.c = c27.c left join m2 on m2.h2 = right(hist.h3, 2) and m2.c = c27.c left join m3 on m3.h3 = hist.h3 and m3.c = c27.c
+    left join (select distinct h1 from m1) s1 on s1.h1 = right(hist.h3, 1) left join (select distinct h2 from m2) s2 on s2.h2 = right(hist.h3, 2) left join (select distinct h3 from m3) s3 on s3.h3 = hist.h3),
+cum as materialized (select h3, list(s order by place) as upto from (select h3, place, sum(p) over (partition by h3 order by place) as s from mix) group by h3),
+grow as (select word as tag, '' as made, '^^^' as h3, 0 as i from words where n_docs >= 3
+    union all select tag, case when c = '$' then made else made || c end, case when c = '$' then null else right(h3, 2) || c end, i + 1
+    from (select tag, made, grow.h3, i, 'abcdefghijklmnopqrstuvwxyz$'[least(27, len(list_filter(upto, lambda x: x < ('0x' || substr(sha256('pseudo:' || tag || ':' || i), 1, 16))::ubigint::double / 18446744073709551616.0)) + 1)] as c from grow join cum on cum.h3 = grow.h3 where i < 24)),
+sampled as (select tag, arg_max(made, i) as made from grow group by tag)"""
+_RECURSIVE = WORDS_SQL.lstrip()
+
+
+def _sampled(w: DataFrame) -> DataFrame:
+    """(tag, word): a word drawn from the character model for every attested word."""
+    unit = lambda tag, i: fn.unit_hash(F.concat(F.lit("pseudo:"), tag, F.lit(":"), i.cast("string")))
+    return models.sample_words(w.where("n_docs >= 3").select(F.col("word").alias("tag")), models.char_table(w.where("n_sources >= 3")), WEIGHTS, unit)
+
+
+@on_tables("l05_sampled_words", f"with recursive {_RECURSIVE} {_SAMPLED} select tag, made as word from sampled")
 def _(spark, sf_dir):
-    return models.posterior(evidence(spark, sf_dir), 12).select("word", "pattern", F.round("posterior", 9).alias("posterior"))
+    return _sampled(words(spark, sf_dir))
 
 
-@on_tables("l15_multistart")
+@on_tables("l23_pseudo_controls", f"with recursive {_RECURSIVE} {_SAMPLED} select distinct made as control from sampled where length(made) between 2 and 24 and made not in (select word from words)")
 def _(spark, sf_dir):
-    return models.multistart(spark, *models.collapse(evidence(spark, sf_dir), 12))
+    w = words(spark, sf_dir)
+    made = _sampled(w).where(F.length("word").between(2, 24)).select("word").distinct()
+    return made.join(w.select("word"), "word", "left_anti").select(F.col("word").alias("control"))
 
 
-@on_tables("f27_agreement")
+#: Words of a control family at most.
+FAMILY = 2000
+
+
+@on_tables(
+    "l23_foreign_controls",
+    f"with {WORDS_SQL}, l as (select w, bool_or(lang = 'en') as english from tokens join documents using (doc_id) group by w) select w as control, sha256('foreign-family:' || w) as rank_key from l join words on word = w where not coalesce(english, false) and n_docs < 3 order by rank_key, w limit {FAMILY}",
+)
 def _(spark, sf_dir):
-    found = models.posterior(evidence(spark, sf_dir), 12).join(words(spark, sf_dir).select("word", (F.col("n_docs") >= 3).alias("listed")), "word")
-    return found.groupBy("listed").agg(F.count_if(F.col("posterior") >= 0.5).alias("likely"), F.count_if(F.col("posterior") < 0.5).alias("unlikely"))
+    # words of other languages alone that no detector confirms; the family is the top of a hash order
+    english = tokens(table(spark, sf_dir, "documents").where("lang = 'en'")).select(F.col("w").alias("word")).distinct()
+    pool = words(spark, sf_dir).where("n_docs < 3").select("word").join(english, "word", "left_anti")
+    return pool.select(F.col("word").alias("control"), F.sha2(F.concat(F.lit("foreign-family:"), "word"), 256).alias("rank_key")).orderBy("rank_key", "control").limit(FAMILY)
 
 
+@on_tables("l23_dictionary_controls", f"select distinct unnest(string_split(missing, ' ')) as control from ({ORACLE_SQL['d13_inflections']}) where outcome = 'inflection-absent' and missing <> ''")
+def _(spark, sf_dir):
+    absent = QUERIES["d13_inflections"](spark, sf_dir).where("outcome = 'inflection-absent' and missing <> ''")
+    return absent.select(F.explode(F.split("missing", " ")).alias("control")).distinct()
+
 
 @on_tables("f42_recapture", f"with {WORDS_SQL}, {_PATTERN} select *, round((only_first + \"both\" + 1) * (only_second + \"both\" + 1) / (\"both\" + 1) - 1, 6) as estimate from (select count(*) filter (a and not b) as only_first, count(*) filter (b and not a) as only_second, count(*) filter (a and b) as \"both\" from (select pattern & 63 > 0 as a, pattern & 4032 > 0 as b from evidence))")
 def _(spark, sf_dir):

@@ -12,7 +12,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokens(docs: DataFrame) -> DataFrame:
+def tokens(docs: DataFrame) -> DataFrame:
     """(doc_id, source, w): the plain words of every document."""
     each = docs.select("doc_id", "source", F.explode(F.split(F.lower("text"), "[^a-zß-ÿ]+")).alias("w"))
     return each.where(F.col("w").rlike(r"^[a-z]+\z"))
@@ -26,7 +26,7 @@ def word_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
 
     def build() -> DataFrame:
-        per_doc = _tokens(docs).groupBy("w", "doc_id", "source").agg(F.count("*").alias("n"))
+        per_doc = tokens(docs).groupBy("w", "doc_id", "source").agg(F.count("*").alias("n"))
         return per_doc.groupBy("w", "source").agg(F.sum("n").alias("n"), F.count("*").alias("d"), F.min("doc_id").alias("first_doc"))
 
     return stored(docs, "word_sources", build, "w")
