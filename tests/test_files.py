@@ -1,5 +1,8 @@
 import bz2
 import gzip
+import io
+import json
+import tarfile
 
 import pytest
 
@@ -71,6 +74,74 @@ def test_affixes(spark):
     assert got(files.affix_forms(stems, rules)) == [("bare",), ("carries",), ("carry",), ("miscarries",), ("miscarry",), ("play",), ("plays",)]
 
 
+ODD = {"plain": {"n": 1}, "quo\"te,{": {"a": ["x, {y", "]"], "b": {"c": "\\\\"}}, "nl\n": "a, b", "": {}, "uni é": None, "esc\\": "\\\"", "n": 7, "list": [[1, 2], {"k": "}"}]}
+
+
+@pytest.mark.parametrize("indent", [None, 0, 3])
+@pytest.mark.parametrize("size", ["7b", "64b", "128m"])
+def test_object_of_many_blocks(spark, tmp_path, indent, size):
+    rows = ODD | {f"w{i}": {"source": "s,{" * (i % 3), "at": i} for i in range(60 if size == "64b" else 5)}
+    (tmp_path / "d.json").write_text("\n " + json.dumps(rows, indent=indent, ensure_ascii=False) + " \n")
+    (tmp_path / "e.json").write_text("{}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        found = {r["word"]: r["entry"] for r in files.dictionary(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    whole = spark.createDataFrame([(json.dumps(rows),)], "v string").selectExpr("explode(from_json(v, 'map<string,string>')) as (word, entry)").collect()
+    assert found.keys() == rows.keys()
+    assert {k: v if v is None else _value(v) for k, v in found.items()} == {r["word"]: r["entry"] if r["entry"] is None else _value(r["entry"]) for r in whole}
+
+
+def _value(text):
+    try:
+        return json.loads(text)
+    except ValueError:
+        return text
+
+
+def test_object_repeated_keys_and_truncated_files(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"a": 1, "b": {"x": "y"}, "a": 2}')
+    assert got(files.dictionary(spark, str(tmp_path / "d.json"))) == [("a", "2"), ("b", '{"x":"y"}')]
+    for text in ('{"a": 1, "b": {"x": "y"}', '{"a": 1, "b": "open}'):
+        (tmp_path / "t.json").write_text(text)
+        with pytest.raises(ValueError):
+            files.dictionary(spark, str(tmp_path / "t.json"))
+
+
+def test_archives(spark, tmp_path):
+    with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as tar:
+        for name, text in (("x/final/english-words.10", "dog\nCafé\nit's\n"), ("x/final/british-words.35", "dog\r\ncow\n\n"), ("x/final/english-upper.10", "Paris\n"), ("x/final/english-words.99", "rare")):
+            data = text.encode("latin-1")
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    path = str(tmp_path / "a.tar.gz")
+    assert got(files.archive_tiers(spark, path, sizes=(10, 35))) == [("cow", 35), ("dog", 10)]
+    assert got(files.archive_tiers(spark, path)) == [("cow", 35), ("dog", 10), ("rare", 99)]
+    assert [r["value"] for r in files.archive_lines(spark, path, r".*upper.*").collect()] == ["Paris"]
+    with pytest.raises(Exception, match="more than 3"):
+        files.archive_lines(spark, path, r".*words.*", most=3).collect()
+
+
+def test_affix_file(spark, tmp_path):
+    (tmp_path / "a.aff").write_text("SET UTF-8\n# note\nSFX S Y 2\nSFX S y ies [^aeiou]y\nSFX S 0 s [aeiou]y\nSFX N N 1\nSFX N 0 ness/S .\nSFX R Y 1\nSFX R 0 er/S [^e]\nPFX U Y 1\nPFX U 0 un .\nPFX X N 1\nPFX X 0 ex\n")
+    (tmp_path / "a.dic").write_text("4\ncarry/SU\nplay/RSX\nbare\nkind/NU\n")
+    rules, form = files.affix_rules(spark, str(tmp_path / "a.aff"))
+    assert form == "char" and rules.count() == 6
+    stems = files.affix_stems(spark, str(tmp_path / "a.dic"), form)
+    assert got(stems)[0] == ("bare", [])
+    # by hand: player comes from R, whose own S does not fit it (no y); uncarries crosses S and U; kindness has no cross
+    assert [w for (w,) in got(files.affix_forms(stems, rules))] == sorted(["carry", "carries", "uncarry", "uncarries", "play", "plays", "player", "explay", "bare", "kind", "kindness", "unkind"])
+    (tmp_path / "b.aff").write_text("FLAG num\nSFX 10 Y 1\nSFX 10 0 ly/20 .\nSFX 20 Y 1\nSFX 20 0 s .\n")
+    (tmp_path / "b.dic").write_text("1\nsad/10,30\n")
+    rules, form = files.affix_rules(spark, str(tmp_path / "b.aff"))
+    assert [w for (w,) in got(files.affix_forms(files.affix_stems(spark, str(tmp_path / "b.dic"), form), rules))] == ["sad", "sadly", "sadlys"]
+
+
 def test_first_seen(spark):
     df = spark.createDataFrame([("b", 3), ("a", 5), ("b", 9), ("c", 1)], "s string, at int")
     assert got(files.first_seen(df, "s", "at")) == [("a", 2), ("b", 1), ("c", 0)]
