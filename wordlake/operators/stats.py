@@ -125,3 +125,38 @@ def chosen_model(fits: DataFrame, rows: float) -> DataFrame:
     judged = fits.withColumn("bic", -2 * F.col("loglik") + F.col("parameters") * F.log(F.lit(float(rows)))).withColumn("passed", passed)
     place = F.row_number().over(Window.orderBy(F.desc("passed"), "bic", "model"))
     return judged.withColumn("chosen", F.col("passed") & (place == 1))
+
+
+def allocation(buckets: DataFrame, target: int, cap: str = "n") -> DataFrame:
+    """buckets (bucket, n, and cap) with goal: target dealt in proportion to n, by largest remainders, no bucket getting more than its cap.
+
+    What caps leave over goes round the buckets in order, one each, as long as
+    any has room.  Rounds are not made: how many are full follows from sums over
+    the buckets' room.  buckets has a row a bucket, so windows over all are small;
+    ties go by bucket, and where all room is used the goals stay below the target.
+    """
+    every = Window.partitionBy()
+    exact = F.col("n") * target / F.sum("n").over(every)
+    whole = F.least(F.col(cap), F.floor(exact)).cast("long")
+    b = buckets.withColumn("__exact", exact).withColumn("__whole", whole)
+    b = b.withColumn("__left", target - F.sum("__whole").over(every)).withColumn("__room", F.col(cap) > F.col("__whole"))
+    order = Window.partitionBy("__room").orderBy(F.desc(F.col("__exact") - F.col("__whole")), "bucket")
+    b = b.withColumn("__one", (F.col("__room") & (F.row_number().over(order) <= F.col("__left"))).cast("long"))
+    b = b.withColumn("__left", F.col("__left") - F.sum("__one").over(every)).withColumn("__space", F.col(cap) - F.col("__whole") - F.col("__one"))
+    # r full rounds give each bucket min(space, r): buckets of little space first
+    up = Window.orderBy("__space", "bucket")
+    b = b.withColumn("__given", F.coalesce(F.sum("__space").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("__more", F.count("*").over(every) - F.row_number().over(up) + 1)
+    # the first bucket that is not filled by the rounds that are left to it and those after it tells their number
+    b = b.withColumn("__fits", F.floor((F.col("__left") - F.col("__given")) / F.col("__more"))).withColumn("__at", F.row_number().over(up))
+    rounds = F.coalesce(F.min(F.when(F.col("__fits") < F.col("__space"), F.struct("__at", "__fits"))).over(every)["__fits"], F.max("__space").over(every))
+    b = b.withColumn("__rounds", rounds).withColumn("__full", F.least(F.col("__space"), F.col("__rounds")))
+    b = b.withColumn("__left", F.col("__left") - F.sum("__full").over(every)).withColumn("__again", F.col("__space") > F.col("__full"))
+    last = F.row_number().over(Window.partitionBy("__again").orderBy("bucket"))
+    extra = (F.col("__again") & (last <= F.col("__left"))).cast("long")
+    return b.select(*buckets.columns, (F.col("__whole") + F.col("__one") + F.col("__full") + extra).alias("goal"))
+
+
+def best_of_buckets(scored: DataFrame, goals: DataFrame, bucket: str, score: str, tie: str, key: str) -> DataFrame:
+    """The rows of scored that are among the goal best of their bucket: highest score, then least tie, then key; goals (bucket, goal) has a row a bucket."""
+    own = scored.join(F.broadcast(goals.select(F.col("bucket").alias(bucket), "goal")), bucket)
+    return own.withColumn("rank", F.row_number().over(Window.partitionBy(bucket).orderBy(F.desc(score), tie, key))).where(F.col("rank") <= F.col("goal")).drop("goal")

@@ -184,8 +184,13 @@ def archive_tiers(spark: SparkSession, path: str, pattern: str = r".*-words\.\d+
 
 def yearly_counts(spark: SparkSession, path: str) -> DataFrame:
     """(w, year, match, volume) of lines word TAB year,match,volume TAB ...; parts that are no three numbers are left out."""
+    return counts_of_lines(spark.read.text(path))
+
+
+def counts_of_lines(lines: DataFrame) -> DataFrame:
+    """yearly_counts() of lines (value)."""
     parts = F.split("value", "\t")
-    each = spark.read.text(path).select(parts[0].alias("w"), F.explode(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("t"))
+    each = lines.select(parts[0].alias("w"), F.explode(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("t"))
     three = F.split("t", ",")
     cast = [F.get(three, F.lit(i)).try_cast("long").alias(n) for i, n in enumerate(("year", "match", "volume"))]
     return each.where(F.size(three) == 3).select("w", *cast).dropna()

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Rows by which a sorted table is divided into files are left to the session's shuffle partitions; a row group holds so many bytes.
 ROW_GROUP = 8 << 20
+#: The file in a place's folder that names its published version.
+POINTER = "_current"
 
 
 @lru_cache(1)
@@ -28,35 +30,78 @@ def folder(spark: SparkSession) -> str:
     return f"{given or _own_folder()}/wordlake"
 
 
-def _path(spark: SparkSession, name: str):
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared folder; it goes when the application ends."""
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place, files = hadoop_path(spark, path)
+    files.deleteOnExit(place)
+    return path
+
+
+def hadoop_path(spark: SparkSession, name: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def pointed(spark: SparkSession, place: str) -> str | None:
+    """The version that place's pointer names, or None; what an unfinished writer left behind does not count."""
+    path, files = hadoop_path(spark, f"{place}/{POINTER}")
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, place: str, version: str) -> None:
+    """Points place at version, and removes the version before; drafts of other writers stay."""
+    before = pointed(spark, place)
+    path, files = hadoop_path(spark, f"{place}/{POINTER}")
+    stream = files.create(path, True)
+    try:
+        stream.write(bytearray(version.encode()))
+    finally:
+        stream.close()
+    if before and before != version:
+        old, files = hadoop_path(spark, f"{place}/{before}")
+        files.delete(old, True)
+
+
 def fingerprint(df: DataFrame) -> str:
     """Names, sizes and times of the files that df reads."""
     spark, seen = df.sparkSession, []
     for name in sorted(df.inputFiles()):
-        path, files = _path(spark, name)
+        path, files = hadoop_path(spark, name)
         status = files.getFileStatus(path)
         seen.append((name, status.getLen(), status.getModificationTime()))
     return hashlib.sha256(repr(seen).encode()).hexdigest()[:24]
 
 
+def derivation(df: DataFrame) -> str:
+    """A hash of how df is made: its plan without the numbers of this session's expressions."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return hashlib.sha256(re.sub(r"#\d+L?", "", plan).encode()).hexdigest()[:12]
+
+
 def stored(source: DataFrame, name: str, build: Callable[[], DataFrame], key: str) -> DataFrame:
-    """The table that build() makes of source, sorted by key over range partitions; built again when source's files change.
+    """The table that build() makes of source, sorted by key over range partitions; built again when source's files or the derivation change.
 
-    It is written under another name first, so that a reader never meets half a table.
+    It is written under a name of its own and then pointed at, so a reader meets
+    neither half a table nor what a broken-off writer left.
     """
-    spark = source.sparkSession
-    place = f"{folder(spark)}/{name}-{fingerprint(source)}"
-    final, files = _path(spark, place)
-    done, _ = _path(spark, f"{place}/_SUCCESS")
-    if not files.exists(done):
-        draft = f"{place}.{uuid.uuid4().hex}"
-        build().repartitionByRange(key).sortWithinPartitions(key).write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(draft)
-        if not files.exists(final):
-            files.rename(_path(spark, draft)[0], final)
-        if not files.exists(done):
-            raise RuntimeError(f"{place} holds a table that was not finished")
-    return spark.read.parquet(place)
+    spark, made = source.sparkSession, build()
+    place = f"{folder(spark)}/{name}-{fingerprint(source)}-{derivation(made)}"
+    version = pointed(spark, place)
+    if version is None:
+        version = f"v-{uuid.uuid4().hex}"
+        made.repartitionByRange(key).sortWithinPartitions(key).write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(f"{place}/{version}")
+        other = pointed(spark, place)  # made meanwhile, and equal
+        if other is None:
+            publish(spark, place, version)
+        else:
+            own, files = hadoop_path(spark, f"{place}/{version}")
+            files.delete(own, True)
+            version = other
+    return spark.read.parquet(f"{place}/{version}")

@@ -11,13 +11,15 @@ SETS = ("verdict", "verdict_amend")
 
 
 def verdict_stream(spark: SparkSession, folder: str, delay: str = "30 days") -> DataFrame:
-    """The last verdict of every item in a folder of JSON lines, as files arrive; the latest ts wins, rows later than delay are dropped.
+    """The last verdict of every item in a folder of JSON lines, as files arrive; the latest ts wins, and of equal ones the greatest verdict.
 
     Events that set no verdict, such as searches, are counted and change nothing.
+    All items are kept and late rows are taken, as any item may be amended;
+    log.judged_stream() refuses second verdicts, drops late rows and forgets items.
     """
     events = spark.readStream.schema(EVENTS).json(folder).withWatermark("ts", delay)
     sets = F.when(F.col("event").isin(*SETS), F.col("ts"))
-    return events.groupBy("item_id").agg(F.max_by("verdict", sets).alias("verdict"), F.count("*").alias("events"))
+    return events.groupBy("item_id").agg(F.max(F.when(sets.isNotNull(), F.struct("ts", "verdict")))["verdict"].alias("verdict"), F.count("*").alias("events"))
 
 
 def replay(events: DataFrame, order: str = "seq") -> DataFrame:
