@@ -103,6 +103,7 @@ SECRETS = [
     "",
     None,
     ("secret = abcdefgh " * 400) + "account-id: 99887766",
+    "write to a.b@example.org, token=abcdef01 or x@y.de " + "z" * 300 + " c@d.fr",
 ]
 
 
@@ -116,6 +117,41 @@ def test_secret_scan(spark):
     assert len(got[3]["spans"].split(",")) == 3 and got[4]["spans"] == ""
 
 
+def test_many_secrets_in_one_text(spark):
+    n = 50_000
+    text = " ".join(f"token=abc{i:06d}é" for i in range(n))
+    table = docs(spark, [text, "x"])
+    r = {x["doc_id"]: x for x in secrets.secret_digest(secrets.find_secrets(table)).collect()}
+    base, a, b = brute_spans_of_many(text)
+    assert (r[0]["n_assign"], r[0]["base_sha256"], r[0]["spans"]) == (n, hashlib.sha256(a.encode()).hexdigest(), b) and r[1]["spans"] == ""
+    masked = {x["doc_id"]: x["text"] for x in secrets.mask_secrets(table).collect()}
+    assert masked[0] == " ".join(["[SECRET]é"] * n) and masked[1] == "x"
+
+
+def brute_spans_of_many(text):
+    spans = [("assign", m.start(), m.end()) for m in re.finditer(r"token=[A-Za-z0-9]+", text)]
+    joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    return spans, joined, joined
+
+
+def test_mask_across_pieces(spark, monkeypatch):
+    texts = [t for t in SECRETS if t] + ["é" * 5 + "token=abcdef" * 9 + "中", "password=token:abcdef secret=secret=abcdefg", None, ""]
+    want = None
+    for size in (2000, 7, 1):
+        monkeypatch.setattr(secrets, "PIECE", size)
+        got = {x["doc_id"]: x["text"] for x in secrets.mask_secrets(docs(spark, texts)).collect()}
+        if want is None:
+            want = {}
+            for i, t in enumerate(texts):
+                cover, out, at = sorted((int(s.split(":")[1]), int(s.split(":")[2])) for s in brute_spans(t)[2].split(",") if s), "", 0
+                for a, b in cover:
+                    if a >= at:
+                        out += t[at:a] + "[SECRET]"
+                    at = max(at, b)
+                want[i] = None if t is None else out + t[at:]
+        assert got == want
+
+
 def test_weak_spans_that_contain_certain_ones(spark):
     url, bare = "https://api.example.com/v1?token=abcdef123&x=1", "Zm9vQ" + "0123456789abcdef01234567" + "XyZ"
     table = docs(spark, [f"client_id=web-client-1 {url} .", f"client_id=web-client-1 {bare} ."])
@@ -183,7 +219,6 @@ def test_packing(spark):
     texts = TEXTS + [" ".join(r.choice(["alpha", "beta", "x1", "don't"]) for _ in range(r.choice([3, 50, 400, 1500]))) for _ in range(80)]
     rows = packing.pack_documents(docs(spark, texts), keep_ids=True).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     by, bins, total = defaultdict(list), defaultdict(list), 0
     for x in rows:
         by[x["doc_id"]].append(x)
@@ -208,14 +243,28 @@ def test_packing(spark):
     assert packing.pack_documents(docs(spark, [])).count() == 0
 
 
+def test_packing_makes_no_more_sequences_than_piece_by_piece_best_fit(spark):
+    r = random.Random(3)
+    texts = ["w " * r.choice([1, 5, 90, 300, 400, 520, 700, 1000]) for _ in range(500)]
+    rows = packing.pack_documents(docs(spark, texts)).collect()
+    room = []
+    for n in sorted((x["length"] for x in rows), reverse=True):
+        fits = [i for i, free in enumerate(room) if free >= n]
+        if fits:
+            room[min(fits, key=lambda i: room[i])] -= n
+        else:
+            room.append(1024 - n)
+    assert len({x["sequence_id"] for x in rows}) <= len(room)
+
+
 def test_packing_ids_are_those_of_tokenizers(monkeypatch):
     r = random.Random(12)
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     encode = packing.token_bytes(path)
     signs = [chr(i) for i in range(0x250)] + list("٣中文한ไ😀\u200d\u200b\u3000\u1680\u2028\u0300²½Ⅷ_'") + ["  ", "\n", " don't", "'LL", "<|endoftext|>"]
     texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>\n x<|endoftext|", "<<|endoftext|>>"]
     texts += [" " * 20_000, "a" + "\n" * 5000 + "b  ", "x" * 50_000, "中" * 9000, " ".join(texts)]
     monkeypatch.setattr(packing, "SLICE", 1000)
     assert len(packing.slices(texts[-1])) > 20 and "".join(packing.slices(texts[-1])) == texts[-1]

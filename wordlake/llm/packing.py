@@ -125,8 +125,17 @@ def file_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens that a tokenizers file adds to its vocabulary, which are cut out of a text before all else."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that look at what stands beside them are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 def token_bytes(path: str):
-    """A function from a text to its ids, by the tokenizers file, as little-endian 32-bit bytes; the strings of special tokens are ordinary text.
+    """A function from a text to its ids, by the tokenizers file, as little-endian 32-bit bytes; an added token's string is its id.
 
     The file's vocabulary runs in the faster of the two libraries; the tests hold its ids against the other's.
     """
@@ -134,12 +143,21 @@ def token_bytes(path: str):
     import tiktoken
 
     encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=file_ranks(path), special_tokens={})
+    added = added_tokens(path)
+    # of tokens that begin at one place the longest
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
 
-    def encode(text: str) -> bytes:
+    def ordinary(text: str) -> bytes:
         if _BLANK.search(text):
             return b"".join(array("I", encoding._encode_single_piece(w)).tobytes() for w in pre_tokens(text))
         return b"".join(array("I", encoding.encode_ordinary(s)).tobytes() for s in slices(text))
 
+    def encode(text: str) -> bytes:
+        parts = cut.split(text) if cut else [text]
+        if len(parts) == 1:
+            return ordinary(text)
+        return b"".join(array("I", [added[x]]).tobytes() if i % 2 else ordinary(x) for i, x in enumerate(parts))
+
     return encode
 
 
@@ -175,7 +193,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     A document is its ids and the end id; a null or empty text is the end id
-    alone; the string of a special token is ordinary text.  Only documents longer
+    alone; the string of an added token is its id, as the library has it.  Only documents longer
     than limits.tokens are cut.  Repeated rows and null ids are packed like any other.  Other columns are not read.  An empty
     table gives an empty result.
     """

@@ -1,16 +1,18 @@
 """Secret scanning with linking of multipart credentials.
 
 Certain spans (keyed assignments, access keys, long hex runs) are always
-reported.  Weak candidates (identifiers, bare high-entropy strings, endpoints)
-are reported only where the parts that complete a credential stand within the
+reported.  Weak candidates (identifiers, e-mail addresses as account names, bare
+high-entropy strings, endpoints) are reported only where the parts that complete a credential stand within the
 same scope, found by an interval join over scope windows.  All of it is native
-DataFrame work in one scan of the table; each kind has its own expression.
+DataFrame work in one scan of the table; each kind has its own expression, and
+the work grows with the matches, however many a text has.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import ROW, columns_of, numbered, save
 
@@ -24,35 +26,49 @@ BASE = (
 WEAK = (
     ("id", r"""(?i:client|account|user|tenant)[_-]?(?i:id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}""", "id"),
     ("bare", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,}={0,2}", "secret"),
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "id"),
     ("endpoint", r"""(?i:https?)://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[^\s"'<>]*)?""", "endpoint"),
 )
 #: The part of a credential that a certain kind stands for.
-PART = {"assign": "secret", "access": "id", "hex": "secret", "id": "id", "bare": "secret", "endpoint": "endpoint"}
+PART = {"assign": "secret", "access": "id", "hex": "secret", "id": "id", "email": "id", "bare": "secret", "endpoint": "endpoint"}
 #: A weak candidate of a part is reported if all of these other parts are in scope.
 NEEDS = {"id": ("secret",), "secret": ("id",), "endpoint": ("id", "secret")}
 #: Code points within which the starts of a credential's parts stand.
 SCOPE = 200
 KINDS = [k for k, *_ in BASE] + [k for k, *_ in WEAK]
-SPAN = "array<struct<start:bigint,order:int,end:bigint,kind:string>>"
+SPAN_TYPE = "struct<start:bigint,order:int,end:bigint,kind:string>"
+SPAN = f"array<{SPAN_TYPE}>"
+#: Code points of a piece of text that is masked at a time.
+PIECE = 2000
 
 
-def _find(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """Array of the spans that pattern matches in text, leftmost first without overlaps, in code points.
+#: Lengths of what stands before a match, of the match, and of what counts of it; the last entry is the rest of the text.
+LENGTHS = "array<struct<gap:int,match:int,value:int>>"
+
+
+def _lengths(text: Column, pattern: str, group: int = 0) -> Column:
+    """The lengths of the gaps and matches of pattern in text, leftmost first without overlaps, in code points; null without a match.
 
     The pieces between matches give the positions that the matches alone lack.
+    Each expression runs once over the text, whatever the number of matches.
     """
-    matches, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    each = lambda found: F.transform(found, lambda x: F.length(x))
+    pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as {SPAN})").alias("spans"))
+    return F.when(text.rlike(pattern), F.arrays_zip(each(pieces).alias("gap"), each(matches).alias("match"), each(value).alias("value")).cast(LENGTHS))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["piece"])
-        end = begin + F.length(x["match"])
-        span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("order"), end.alias("end"), F.lit(kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(F.length(x["value"]) >= least, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
-    zipped = F.transform(matches, lambda m, i: F.struct(m.alias("match"), F.get(pieces, i).alias("piece"), F.get(value, i).alias("value")))
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step)["spans"]).otherwise(F.expr(f"cast(array() as {SPAN})"))
+def _spans(scanned: DataFrame, kinds: list[tuple[str, int]]) -> DataFrame:
+    """(uid, span, part) of the kinds (name, least length), from their lengths: places are running sums over a text's pieces."""
+    rows = None
+    for kind, least in kinds:
+        own = scanned.where(F.col(f"k_{kind}").isNotNull()).select("uid", F.lit(KINDS.index(kind)).alias("order"), F.lit(kind).alias("kind"), F.lit(least).alias("least"), F.posexplode(f"k_{kind}").alias("at", "x"))
+        rows = own if rows is None else rows.unionByName(own)
+    upto = Window.partitionBy("uid", "order").orderBy("at")
+    size = F.coalesce(F.col("x.match"), F.lit(0))
+    placed = rows.withColumn("end", F.sum((F.col("x.gap") + size).cast("long")).over(upto)).where(F.col("x.match").isNotNull() & (F.col("x.value") >= F.col("least")))
+    part = F.create_map(*[F.lit(x) for pair in PART.items() for x in pair])
+    return placed.select("uid", F.struct((F.col("end") - F.col("x.match")).alias("start"), "order", "end", "kind").cast(SPAN_TYPE).alias("span"), part[F.col("kind")].alias("part"))
 
 
 def _joined(spans: Column) -> Column:
@@ -70,19 +86,14 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col("text"), F.lit(""))
     uid, keys = (F.col("uid"), ["uid"]) if row_col else (F.monotonically_increasing_id().alias("uid"), [])
     source = columns_of(docs, id_col, text_col, *([row_col] if row_col else [])).toDF("doc_id", "text", *keys)
-    base = F.concat(*[_find(text, kind, pattern, group, least) for kind, pattern, group, least in BASE])
-    weak = F.concat(*[_find(text, kind, pattern) for kind, pattern, _ in WEAK])
-    scanned = save(source.select(uid, "doc_id", base.alias("base"), weak.alias("weak")))
-
-    def parts(column: str) -> DataFrame:
-        part = F.create_map(*[F.lit(x) for pair in PART.items() for x in pair])
-        return scanned.select("uid", F.explode(column).alias("span")).select("uid", "span", part[F.col("span.kind")].alias("part"))
+    found = [_lengths(text, pattern, group).alias(f"k_{kind}") for kind, pattern, group, _ in BASE] + [_lengths(text, pattern).alias(f"k_{kind}") for kind, pattern, _ in WEAK]
+    scanned = save(source.select(uid, "doc_id", *found))
+    certain = save(_spans(scanned, [(kind, least) for kind, _, _, least in BASE]))
 
     # a weak candidate inside a certain span is that span already
-    certain = parts("base")
     span = F.struct(*[F.col(f"span.{c}") for c in ("start", "order", "end", "kind")])
     windows = lambda df: df.withColumn("window", F.floor(F.col("span.start") / scope))
-    loose = windows(parts("weak"))
+    loose = windows(save(_spans(scanned, [(kind, 0) for kind, *_ in WEAK])))
     known = certain.select("uid", F.col("span.start").alias("b0"), F.col("span.end").alias("b1"), F.explode(F.sequence(F.floor(F.col("span.start") / scope), F.floor(F.col("span.end") / scope))).alias("window"))
     edge = F.explode(F.array_distinct(F.array(F.floor(F.col("span.start") / scope), F.floor((F.col("span.end") - 1) / scope)))).alias("edge")
     inside = loose.select("uid", "span", edge).join(known.withColumnRenamed("window", "edge"), ["uid", "edge"]).where("b0 <= span.start and span.end <= b1").select("uid", "span").distinct()
@@ -97,9 +108,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             other = near.where(F.col("part") == need).select("uid", "window", "at")
             mine = mine.alias("m").join(other.alias("o"), (F.col("m.uid") == F.col("o.uid")) & (F.col("m.window") == F.col("o.window")) & F.col("o.at").between(F.col("m.span.start") - scope, F.col("m.span.start") + scope), "left_semi")
         linked = mine if linked is None else linked.unionByName(mine)
-    more = linked.groupBy("uid").agg(F.collect_list(span).alias("more"))
-    found = F.concat("base", F.coalesce("more", F.expr(f"cast(array() as {SPAN})")))
-    return scanned.join(more, "uid", "left").select("uid", "doc_id", F.array_sort("base").alias("base"), F.array_sort(found).alias("found"))
+    gathered = lambda rows, name: rows.groupBy("uid").agg(F.collect_list(span).alias(name))
+    both = gathered(certain, "base").join(gathered(linked, "more"), "uid", "full")
+    none = F.expr(f"cast(array() as {SPAN})")
+    base, more = (F.coalesce(c, none) for c in ("base", "more"))
+    return scanned.select("uid", "doc_id").join(both, "uid", "left").select("uid", "doc_id", F.array_sort(base).alias("base"), F.array_sort(F.concat(base, more)).alias("found"))
 
 
 def secret_digest(found: DataFrame) -> DataFrame:
@@ -116,14 +129,23 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """
     table = numbered(docs)
     spans = find_secrets(table, row_col=ROW).where(F.size("found") > 0).select(F.col("uid").alias(ROW), F.col("found").alias("__spans"))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.concat(state["out"], F.col("text").substr((state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int")), F.lit(mask))
-        return F.struct(F.when(s["start"] >= state["at"], gap).otherwise(state["out"]).alias("out"), F.greatest(state["at"], s["end"]).alias("at"))
-
-    done = F.aggregate(F.array_distinct(F.array_sort("__spans")), start, step, lambda s: F.concat(s["out"], F.col("text").substr((s["at"] + 1).cast("int"), F.length("text"))))
-    joined = table.join(spans, ROW, "left").withColumn("text", F.when(F.col("__spans").isNotNull(), done).otherwise(F.col("text"))).drop("__spans")
+    # overlapping spans are one; a new one begins where no earlier span reaches
+    order = Window.partitionBy(ROW).orderBy("span")
+    each = spans.select(ROW, F.explode("__spans").alias("span")).distinct()
+    each = each.withColumn("upto", F.max("span.end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    each = each.withColumn("number", F.sum((F.coalesce(F.col("upto"), F.lit(-1)) <= F.col("span.start")).cast("int")).over(order))
+    covers = each.groupBy(ROW, "number").agg(F.min("span.start").alias("a"), F.max("span.end").alias("b"))
+    # texts are cut into pieces, so that a place is found in a piece and not in the whole text for each span
+    texts = table.join(spans.select(ROW), ROW, "left_semi").select(ROW, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("piece", "own"))
+    parts = covers.select(ROW, "a", "b", F.explode(F.sequence(F.floor(F.col("a") / PIECE).cast("int"), F.floor((F.greatest("b", F.col("a") + 1) - 1) / PIECE).cast("int"))).alias("piece"))
+    inside = parts.groupBy(ROW, "piece").agg(F.sort_array(F.collect_list(F.struct((F.col("a") - F.col("piece") * PIECE).cast("int").alias("a"), (F.col("b") - F.col("piece") * PIECE).cast("int").alias("b")))).alias("cuts"))
+    # what stays before each cut, the mask where a cut begins, and what stays after the last
+    between = lambda a, b: F.when(b > a, F.substr("own", a + 1, b - a)).otherwise("")
+    kept = F.transform("cuts", lambda c, i: F.concat(between(F.greatest(F.lit(0), F.coalesce(F.get("cuts", i - 1)["b"], F.lit(0))), c["a"]), F.when(c["a"] >= 0, mask).otherwise("")))
+    masked = F.when(F.col("cuts").isNull(), F.col("own")).otherwise(F.concat(F.array_join(kept, ""), between(F.element_at("cuts", -1)["b"], F.length("own"))))
+    pieces = texts.join(inside, [ROW, "piece"], "left").select(ROW, F.struct("piece", masked.alias("text")).alias("p"))
+    done = pieces.groupBy(ROW).agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["text"]), "").alias("__text"))
+    joined = table.join(done, ROW, "left").withColumn("text", F.coalesce("__text", "text")).drop("__text")
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)
