@@ -124,3 +124,28 @@ def upsert_log(log: DataFrame, new: DataFrame) -> DataFrame:
     last = log.agg(F.coalesce(F.max("update_number"), F.lit(0)).alias("__last"))  # one row
     more = numbered_log(new.join(log, "day", "left_anti")).join(F.broadcast(last), F.lit(True))
     return kept.unionByName(more.select("day", "n", (F.col("update_number") + F.col("__last")).alias("update_number")))
+
+
+def promoted_dictionary(dictionary: DataFrame, batch: DataFrame, as_of: str) -> DataFrame:
+    """dictionary (word, source, added_date, validation_status) with the words of batch (the same columns; all but word may be null).
+
+    Words are written in small letters without blanks around them.  A word that is
+    there stays as it is, so a second promotion changes nothing; a new one without
+    metadata gets the defaults.  Of a word's rows in batch one with metadata counts.
+    """
+    word = F.lower(F.regexp_replace("word", r"^\s+|\s+\z", "")).alias("word")
+    meta = ("source", "added_date", "validation_status")
+    given = F.struct(*[F.col(c).isNull().alias(f"no_{c}") for c in meta], *meta)
+    new = batch.select(word, *meta).where("word <> ''").groupBy("word").agg(F.min(given).alias("m"))
+    new = new.join(dictionary.select("word"), "word", "left_anti")
+    bare = F.coalesce(*[F.col(f"m.{c}") for c in meta]).isNull()
+    default = {"source": "phase3_update", "added_date": as_of, "validation_status": "valid"}
+    return dictionary.select("word", *meta).unionByName(new.select("word", *[F.when(bare, F.lit(default[c])).otherwise(F.col(f"m.{c}")).alias(c) for c in meta]))
+
+
+def never_consulted(statuses: DataFrame, sources: list[str]) -> DataFrame:
+    """(source, answered, asked): sources of which no row of statuses has an answer, so that a run was partial."""
+    said = lambda c: F.count_if(F.col(c).isNotNull() & (F.col(c) != "not_consulted"))
+    sums = statuses.agg(F.count("*").alias("asked"), *[said(c).alias(c) for c in sources])  # one row
+    each = sums.select("asked", F.explode(F.array(*[F.struct(F.lit(c).alias("source"), F.col(c).alias("answered")) for c in sources])).alias("x"))
+    return each.select("x.source", "x.answered", "asked").where("answered = 0 and asked > 0")

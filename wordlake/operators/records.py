@@ -143,3 +143,42 @@ def stage1(dual: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(word, source, evidence, resolved) of words on both lists; resolved if an authoritative source stands behind the word."""
     found = dual.select("word").join(dictionary, "word", "left")
     return found.select("word", F.col("rec.source").alias("source"), evidence_of(F.col("rec")).alias("evidence"), F.coalesce(F.col("rec.source").isin(*AUTHORITATIVE), F.lit(False)).alias("resolved"))
+
+
+# what a dictionary's answer says, null where its shape is another
+
+
+def _first_text(items: Column) -> Column:
+    """The second part of the first item whose first part is "text", of a JSON array of arrays."""
+    parts = F.from_json(items, "array<array<string>>")
+    return F.get(F.filter(parts, lambda x: F.get(x, F.lit(0)) == "text"), F.lit(0))[1]
+
+
+def definition_of(entry: Column) -> Column:
+    """The first definition of an entry (JSON text), without its codes; null where the path to it breaks off."""
+    sense = F.get_json_object(entry, "$.def[0].sseq[0][0][1].dt")
+    text = _first_text(sense)
+    for code in ("{bc}", "{sx|", "||}"):
+        text = F.replace(text, F.lit(code), F.lit(""))
+    return F.regexp_replace(text, r"^\s+|\s+\z", "")
+
+
+def etymology_of(entry: Column) -> Column:
+    """The first text of an entry's etymology."""
+    return _first_text(F.get_json_object(entry, "$.et"))
+
+
+def pronunciation_of(entry: Column) -> Column:
+    """The first pronunciation of an entry."""
+    return F.get_json_object(entry, "$.hwi.prs[0].mw")
+
+
+def relabelled(rec: Column, status: Column) -> list[Column]:
+    """(checked_verdict, unverified_verdict): a status is a verdict that somebody checked where the record has a manual_validation, else an unverified one."""
+    manual = F.get_json_object(rec, "$.manual_validation").isNotNull()
+    return [F.when(manual, status).alias("checked_verdict"), F.when(~manual, status).alias("unverified_verdict")]
+
+
+def with_definition(word: Column, definition: Column) -> Column:
+    """A word's entry: the definition only if something is left of it without blanks around it."""
+    return F.struct(word.alias("word"), F.nullif(F.regexp_replace(definition, r"^\s+|\s+\z", ""), F.lit("")).alias("definition"))

@@ -7,16 +7,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Ranges of scores within each of which ranks are running sums.
+RANGES = 256
+
+
 def auc(scored: DataFrame, group: list[str], label: str = "label", score: str = "score") -> DataFrame:
-    """Mann-Whitney AUC per group with average ranks for ties; ranks come from counts per distinct score, pre-aggregated."""
+    """Mann-Whitney AUC per group with average ranks for ties.
+
+    Ranks come from counts per distinct score.  A group's scores are cut into
+    ranges at approximate quantiles: running sums go within a range and over the
+    ranges' totals, so a group of very many distinct scores is no task's.
+    """
     by = scored.groupBy(*group, score).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("int")).alias("k"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    by = by.withColumn("rank", before + (F.col("n") + 1) / 2)
+    edges = by.groupBy(*group).agg(F.percentile_approx(score, [i / RANGES for i in range(1, RANGES)], 10_000).alias("__edges"))
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(f"b.{g}").eqNullSafe(F.col(f"e.{g}"))
+    place = F.size(F.filter("__edges", lambda e: e < F.col(score)))
+    by = by.alias("b").join(edges.alias("e"), same).select("b.*", place.alias("__range"))
+    ranges = by.groupBy(*group, "__range").agg(F.sum("n").alias("__all"))
+    earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES rows a group
+    ranges = ranges.withColumn("__ahead", F.coalesce(F.sum("__all").over(earlier), F.lit(0))).drop("__all")
+    same = F.col("b.__range") == F.col("r.__range")
+    for g in group:
+        same = same & F.col(f"b.{g}").eqNullSafe(F.col(f"r.{g}"))
+    by = by.alias("b").join(ranges.alias("r"), same).select("b.*", "r.__ahead")
+    within = F.coalesce(F.sum("n").over(Window.partitionBy(*group, "__range").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    by = by.withColumn("rank", F.col("__ahead") + within + (F.col("n") + 1) / 2)
     sums = by.groupBy(*group).agg(F.sum("k").alias("positives"), (F.sum("n") - F.sum("k")).alias("negatives"), F.sum(F.col("rank") * F.col("k")).alias("ranks"))
     area = (F.col("ranks") - F.col("positives") * (F.col("positives") + 1) / 2) / (F.col("positives") * F.col("negatives"))
     return sums.select(*group, "positives", "negatives", F.when(F.least("positives", "negatives") >= 10, area).alias("auc"))
 
 
+def draw(frame: DataFrame, seed: str, stratum: str, key: str, sizes: dict[str, int]) -> DataFrame:
+    """hash_sample() of so many rows of each stratum; a stratum that is missing or has fewer rows is an error, not a smaller sample."""
+    held = {r[stratum]: r["n"] for r in frame.where(F.col(stratum).isin(list(sizes))).groupBy(stratum).agg(F.count("*").alias("n")).collect()}
+    short = {s: (held.get(s, 0), n) for s, n in sizes.items() if held.get(s, 0) < n}
+    if short:
+        raise ValueError(f"cannot draw from strata with fewer rows (has, wanted): {short}")
+    wanted = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col(stratum)]
+    picked = hash_sample(frame.where(F.col(stratum).isin(list(sizes))), seed, stratum, key, max(sizes.values(), default=0))
+    return picked.where(F.col("position") <= wanted)
+
+
 def hash_sample(frame: DataFrame, seed: str, stratum: str, key: str, n: int) -> DataFrame:
     """The n rows of each stratum whose SHA-256 of seed:stratum:key is least, with the first 16 hex digits of it."""
     rank = F.sha2(F.concat_ws(":", F.lit(seed), F.col(stratum), F.col(key)), 256)

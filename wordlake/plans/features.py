@@ -264,9 +264,9 @@ def _(w):
     return w.agg(F.count_if(valid & invalid).alias("on_both"), F.count_if((F.col("intake") == "twl") & ~valid).alias("twl_outside"), F.count_if(valid).alias("valid"), F.count_if(invalid).alias("invalid"))
 
 
-@on_tables("c17_new_words", f"with {WORDS_SQL}, {_LISTS}, found as (select distinct lower(trim(t)) as word from (select unnest(string_split(text, ' ')) as t from documents where doc_id % 3 = 0)) select word from found where regexp_full_match(word, '[a-z]{{2,45}}') and not exists (select 1 from valid v where v.word = found.word)")
+@on_tables("c17_new_words", f"with {WORDS_SQL}, {_LISTS}, found as (select distinct lower(trim(t)) as word from (select unnest(string_split(text, ' ')) as t from documents)) select word from found anti join valid using (word) where regexp_full_match(word, '[a-z]{{2,45}}')")
 def _(spark, sf_dir):
-    found = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.explode(F.split("text", " ")).alias("t")).select(F.lower(F.trim("t")).alias("word")).distinct()
+    found = table(spark, sf_dir, "documents").select(F.explode(F.split("text", " ")).alias("t")).select(F.lower(F.trim("t")).alias("word")).distinct()
     return found.where(fn.form_reason(F.col("word"), 2, 45).isNull()).join(_valid_invalid(words(spark, sf_dir))[0], "word", "left_anti")
 
 
@@ -306,11 +306,11 @@ def _(spark, sf_dir):
     return lists.form_ledger(raw, words(spark, sf_dir).where("n_sources >= 2").select("word"))
 
 
-@on_tables("j07_form_ledger_problems", f"with {WORDS_SQL}, frame as (select word from words where n_sources >= 2), l as (select word, case when n_docs % 3 = 0 then 'delete_malformed' when n_docs % 3 = 1 then 'add_candidate' else 'rename' end as action from words where first_doc % 4 = 0) select word, case when action = 'delete_malformed' then 'well-formed' when action = 'add_candidate' then 'already present' else 'unknown action' end as problem from l where action <> 'add_candidate' or exists (select 1 from frame f where f.word = l.word)")
+@on_tables("j07_form_ledger_problems", f"with {WORDS_SQL}, frame as (select word from words where n_sources >= 2), l as (select word, case when n_docs % 3 = 0 then 'delete_malformed' when n_docs % 3 = 1 then 'add_candidate' else 'rename' end as action from words) select word, case when action = 'delete_malformed' then 'well-formed' when action = 'add_candidate' then 'already present' else 'unknown action' end as problem from l left join (select word as known from frame) f on known = word where action <> 'add_candidate' or known is not null")
 def _(spark, sf_dir):
     w = words(spark, sf_dir)
     action = F.when(F.col("n_docs") % 3 == 0, "delete_malformed").when(F.col("n_docs") % 3 == 1, "add_candidate").otherwise("rename")
-    return lists.form_problems(w.where("first_doc % 4 = 0").select("word", action.alias("action")), w.where("n_sources >= 2").select("word"))
+    return lists.form_problems(w.select("word", action.alias("action")), w.where("n_sources >= 2").select("word"))
 
 
 #: The events table as an adjudication log: each user an item, errors verdicts, signups amendments, the rest searches.

@@ -162,10 +162,13 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PATTERN = f"evidence as (select w as word, bit_or(case when {_ORDINAL} < 12 then (1 << {_ORDINAL}) else 0 end)::int as pattern from tokens group by w)"
 
 
-@on_tables("e04_evidence_matrix", f"with {WORDS_SQL}, {_PATTERN} select word, pattern, bit_count(pattern)::int as hits, pattern & 1 > 0 as d0, pattern & 2 > 0 as d1, pattern & 2048 > 0 as d11 from evidence")
+_BOOLEANS = ", ".join(f"pattern & {1 << i} > 0 as d{i}" for i in range(12))
+
+
+@on_tables("e04_evidence_matrix", f"with {WORDS_SQL}, {_PATTERN} select word, pattern, bit_count(pattern)::int as hits, {_BOOLEANS} from evidence")
 def _(spark, sf_dir):
     bit = lambda i: (F.col("pattern").bitwiseAND(1 << i) > 0).alias(f"d{i}")
-    return evidence(spark, sf_dir).select("word", "pattern", F.bit_count("pattern").alias("hits"), bit(0), bit(1), bit(11))
+    return evidence(spark, sf_dir).select("word", "pattern", F.bit_count("pattern").alias("hits"), *map(bit, range(12)))
 
 
 @on_tables("f17_pattern_collapse", f"with {WORDS_SQL}, {_PATTERN} select pattern, count(*) as n from evidence group by pattern")
@@ -173,18 +176,24 @@ def _(spark, sf_dir):
     return evidence(spark, sf_dir).groupBy("pattern").agg(F.count("*").alias("n"))
 
 
-@on_tables("f18_top_patterns", f"with {WORDS_SQL}, {_PATTERN} select pattern, count(*) as n, round(count(*) / sum(count(*)) over (), 9) as share from evidence group by pattern order by n desc, pattern limit 12")
+_NAMES = "concat_ws('+', " + ", ".join(f"case when pattern & {1 << i} > 0 then 'src{i}' end" for i in range(12)) + ")"
+
+
+@on_tables("f18_top_patterns", f"with {WORDS_SQL}, {_PATTERN} select pattern, {_NAMES} as sources, count(*) as n, round(count(*) / sum(count(*)) over (), 9) as share from evidence group by pattern order by n desc, pattern limit 12")
 def _(spark, sf_dir):
     by = evidence(spark, sf_dir).groupBy("pattern").agg(F.count("*").alias("n")).withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 9))
-    return by.orderBy(F.desc("n"), "pattern").limit(12)
+    names = F.concat_ws("+", *[F.when(F.col("pattern").bitwiseAND(1 << i) > 0, f"src{i}") for i in range(12)])
+    return by.select("pattern", names.alias("sources"), "n", "share").orderBy(F.desc("n"), "pattern").limit(12)
 
 
-@on_tables("f19_source_contributions", f"with {WORDS_SQL}, k as (select w, source, min({_ORDINAL}) over (partition by w) as first from (select distinct w, source from tokens)) select source, count(*) as keys, count(*) filter ({_ORDINAL} = first) as new_keys from k group by source")
+@on_tables("f19_source_contributions", f"with {WORDS_SQL}, k as (select w, source, min({_ORDINAL}) over (partition by w) as first from (select distinct w, source from tokens)), u as (select word from words where n_docs >= 2) select source, count(*) as keys, count(*) filter (word is null) as absent, count(*) filter ({_ORDINAL} = first) as new_keys from k left join u on word = w group by source")
 def _(spark, sf_dir):
     keys = word_sources(spark, sf_dir).select("w", "source")
     number = F.substring("source", 4, 9).cast("int")
     first = F.min(number).over(Window.partitionBy("w"))
-    return keys.withColumn("first", first).groupBy("source").agg(F.count("*").alias("keys"), F.count_if(number == F.col("first")).alias("new_keys"))
+    universe = words(spark, sf_dir).where("n_docs >= 2").select(F.col("word").alias("w"), F.lit(True).alias("known"))
+    keys = keys.withColumn("first", first).join(universe, "w", "left")
+    return keys.groupBy("source").agg(F.count("*").alias("keys"), F.count_if(F.col("known").isNull()).alias("absent"), F.count_if(number == F.col("first")).alias("new_keys"))
 
 
 @on_tables("f38_hit_histogram", f"with {WORDS_SQL}, {_PATTERN} select bit_count(pattern)::int as hits, count(*) as n, bit_count(pattern) >= 8 as strong from evidence group by all")
@@ -270,14 +279,14 @@ def _(w):
     return by.withColumn("top", F.round(F.sum("n").over(every.orderBy(ord_).rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(every), 9))
 
 
-_LISTS = "valid as (select word from words where n_sources >= 2), invalid as (select word from words where n_sources < 2 or first_doc % 50 = 0)"
+_LISTS = "valid as materialized (select word from words where n_sources >= 2), invalid as materialized (select word from words where n_sources < 2 or first_doc % 50 = 0)"
 
 
 def _valid_invalid(w: DataFrame) -> tuple[DataFrame, DataFrame]:
     return w.where("n_sources >= 2").select("word"), w.where("n_sources < 2 or first_doc % 50 = 0").select("word")
 
 
-@on_words("e01_left_anti", f", {_LISTS} select word from invalid i where not exists (select 1 from valid v where v.word = i.word)")
+@on_words("e01_left_anti", f", {_LISTS} select word from invalid anti join valid using (word)")
 def _(w):
     valid, invalid = _valid_invalid(w)
     return invalid.join(valid, "word", "left_anti")
@@ -341,6 +350,18 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("link")).groupBy("page_id").agg(F.count("*").alias("links"))
 
 
+@on_tables("a27_page_words", r"""select page_id, lower(word) as word, count(*) as n from (
+    select page_id, unnest(regexp_extract_all(html, 'href="[^"]*/dictionary/([A-Za-z]+)"', 1)) as word from pages
+    union all select page_id, unnest(string_split(regexp_replace(t, '[^A-Za-z]+', ' ', 'g'), ' ')) from (select page_id, unnest(regexp_extract_all(html, '<(?:em|i|b|strong|p)(?: [^>]*)?>([^<]*)<', 1)) as t from pages))
+    where length(word) between 3 and 20 group by 1, 2""")
+def _(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    found = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
+    linked = pages.select("page_id", F.explode(found('href="[^"]*/dictionary/([A-Za-z]+)"')).alias("word"))
+    marked = pages.select("page_id", F.explode(found("<(?:em|i|b|strong|p)(?: [^>]*)?>([^<]*)<")).alias("t")).select("page_id", F.explode(F.split("t", "[^A-Za-z]+")).alias("word"))
+    return linked.unionByName(marked).where(F.length("word").between(3, 20)).groupBy("page_id", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
+
+
 @on_words("p_counts", "select count(*) as n, count(*) filter (length(word) = 5) as of_five, max(length(word))::int as longest, round(avg(length(word)), 9) as mean_length, count(*) filter (intake = 'twl') as twl, count(*) filter (intake <> 'synthetic') as human from words")
 def _(w):
     n = F.length("word")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import lists
 from ..operators import records as rec
 from ..operators import stats
 from ..sources.lexicon import WORDS_SQL, table, word_sources, words
@@ -60,10 +61,10 @@ def _(d, r):
     return d.select("word", rec.intake_of(r).alias("intake"), rec.added_of(r).alias("added"), rec.llm_says_invalid(r).alias("llm_invalid"))
 
 
-@on_tables("d04_flags", f"with {RECORDS_SQL}, {_LISTS}, f as (select word, {_INTAKE} as intake, coalesce(coalesce(unverified_llm_verdict, status) = 'invalid', false) as bad from r where first_doc % 7 <> 0), p as (select distinct t as word from (select unnest(string_split(lower(text), ' ')) as t from documents) where t <> '') select p.word, coalesce(f.intake, 'other') as intake, (case when f.bad then 1 else 0 end + case when exists (select 1 from invalid i where i.word = p.word) then 2 else 0 end + case when not regexp_full_match(p.word, '[a-z]+') then 4 else 0 end)::int as flags from p left join f on f.word = p.word")
+@on_tables("d04_flags", f"with {RECORDS_SQL}, {_LISTS}, f as (select word, {_INTAKE} as intake, coalesce(coalesce(unverified_llm_verdict, status) = 'invalid', false) as bad from r where n_tokens >= 2), p as (select distinct t as word from (select unnest(string_split(lower(text), ' ')) as t from documents) where t <> '') select p.word, coalesce(f.intake, 'other') as intake, (case when f.bad then 1 else 0 end + case when exists (select 1 from invalid i where i.word = p.word) then 2 else 0 end + case when not regexp_full_match(p.word, '[a-z]+') then 4 else 0 end)::int as flags from p left join f on f.word = p.word")
 def _(spark, sf_dir):
     listed = table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).where("word <> ''").distinct()
-    facts = rec.parse(records(spark, sf_dir)).join(words(spark, sf_dir).where("first_doc % 7 <> 0").select("word"), "word", "left_semi").select("word", rec.intake_of(F.col("rec")).alias("intake"), rec.llm_says_invalid(F.col("rec")).alias("bad"))
+    facts = rec.parse(records(spark, sf_dir)).join(words(spark, sf_dir).where("n_tokens >= 2").select("word"), "word", "left_semi").select("word", rec.intake_of(F.col("rec")).alias("intake"), rec.llm_says_invalid(F.col("rec")).alias("bad"))
     invalid = _valid_invalid(words(spark, sf_dir))[1].withColumn("also", F.lit(True))
     bit = lambda c, n: F.when(c, n).otherwise(0)
     flags = bit(F.col("bad"), 1) + bit(F.col("also"), 2) + bit(~F.col("word").rlike(r"^[a-z]+\z"), 4)
@@ -99,7 +100,7 @@ def _(d, r):
     return d.groupBy(rec.repaired(r["status"]).alias("status"), r["unverified_llm_verdict"].isNotNull().alias("renamed")).agg(F.count("*").alias("n"))
 
 
-@on_tables("j09_stage1_ledger", f"with {RECORDS_SQL}, {_LISTS} select r.word, source, case when definition is not null and etymology is not null then 'definition+etymology' when definition is not null then 'definition' when etymology is not null then 'etymology' else 'none' end as evidence, coalesce(source = 'merriam_webster_collegiate', false) as resolved from r where exists (select 1 from valid v where v.word = r.word) and exists (select 1 from invalid i where i.word = r.word)")
+@on_tables("j09_stage1_ledger", f"with {RECORDS_SQL}, {_LISTS} select word, source, case when definition is not null and etymology is not null then 'definition+etymology' when definition is not null then 'definition' when etymology is not null then 'etymology' else 'none' end as evidence, coalesce(source = 'merriam_webster_collegiate', false) as resolved from r semi join valid using (word) semi join invalid using (word)")
 def _(spark, sf_dir):
     valid, invalid = _valid_invalid(words(spark, sf_dir))
     return rec.stage1(valid.intersect(invalid), rec.parse(records(spark, sf_dir)))
@@ -218,10 +219,10 @@ def _(spark, sf_dir):
     return by.select("word", F.concat(F.col("n").cast("string"), F.lit("/7 sources")).alias("attested"), F.array_join("names", ",").alias("names"))
 
 
-@on_tables("e20_screen_and_confirm", f"with {WORDS_SQL}, titles as (select distinct word from words where n_docs >= 2), english as (select word from words where n_docs >= 4 and n_sources >= 2) select intake, count(*) as n, count(*) filter (word in (select word from titles)) as screened, count(*) filter (word in (select word from titles) and word in (select word from english)) as confirmed from words where first_doc % 2 = 0 group by intake")
+@on_tables("e20_screen_and_confirm", f"with {WORDS_SQL}, titles as (select distinct word from words where n_docs >= 2), english as (select word from words where n_docs >= 4 and n_sources >= 2) select intake, count(*) as n, count(*) filter (word in (select word from titles)) as screened, count(*) filter (word in (select word from titles) and word in (select word from english)) as confirmed from words group by intake")
 def _(spark, sf_dir):
     w = words(spark, sf_dir)
-    own, titles, english = w.where("first_doc % 2 = 0"), w.where("n_docs >= 2").select("word"), w.where("n_docs >= 4 and n_sources >= 2").select("word")
+    own, titles, english = w, w.where("n_docs >= 2").select("word"), w.where("n_docs >= 4 and n_sources >= 2").select("word")
     screened = own.join(titles, "word", "left_semi")
     confirmed = screened.join(english, "word", "left_semi")
     count = lambda df, name: df.groupBy("intake").agg(F.count("*").alias("k")).select("intake", F.lit(name).alias("kind"), "k")
@@ -237,3 +238,34 @@ def _(spark, sf_dir):
     total = stats.running(F.col("n"), F.col("day"))  # one row a day
     raw = F.when(F.dayofmonth("day") % 7 == 0, "not recorded").when(F.dayofmonth("day") % 11 == 0, "").otherwise(total.cast("string"))
     return stats.growth(days.select("day", raw.alias("raw")))
+
+
+#: A dictionary's answer for a word as JSON text, for either engine.
+_PAYLOAD = """'{"hwi":{"prs":[' || case when n_docs % 3 = 0 then '{"mw":"' || word || '-mw"}' else '' end || ']},"et":' || case when n_docs % 4 = 0 then '[["snip","x"],["text","from {it}' || word || '{/it}"]]' else '[]' end || ',"def":[{"sseq":[[["sense",{"dt":[["vis",[]],["text","{bc}a {sx|' || word || '||} thing "]]}]]]}]}'"""
+
+
+@on_tables(
+    "d19_payload_paths",
+    f"with {WORDS_SQL} select word, case when n_tokens % 5 <> 0 then 'a ' || word || ' thing' end as definition, case when n_tokens % 5 <> 0 and n_docs % 4 = 0 then 'from {{it}}' || word || '{{/it}}' end as etymology, case when n_tokens % 5 <> 0 and n_docs % 3 = 0 then word || '-mw' end as pronunciation from words",
+)
+def _(spark, sf_dir):
+    payload = F.when(F.col("n_tokens") % 5 == 0, '{"def":[{"sseq":[]}],"et":"odd","hwi":[]}').otherwise(F.expr(_PAYLOAD))
+    return words(spark, sf_dir).select("word", payload.alias("e")).select("word", rec.definition_of(F.col("e")).alias("definition"), rec.etymology_of(F.col("e")).alias("etymology"), rec.pronunciation_of(F.col("e")).alias("pronunciation"))
+
+
+@on_tables("d17_word_entries", f"with {RECORDS_SQL} select word, nullif(trim(definition), '') as definition from r")
+def _(spark, sf_dir):
+    entry = rec.with_definition(F.col("word"), F.get_json_object("rec", "$.definition"))
+    return records(spark, sf_dir).select(entry.alias("e")).select("e.word", "e.definition")
+
+
+@on_tables(
+    "j04_promoted_dictionary",
+    f"with {RECORDS_SQL}, {_LISTS} select word, case when v.known then source else 'phase3_update' end as source, case when v.known then added_date else '2026-01-01' end as added_date, case when v.known then status else 'valid' end as validation_status from r left join (select word, true as known from valid) v using (word) where v.known or n_tokens >= 5",
+)
+def _(spark, sf_dir):
+    valid, _ = _valid_invalid(words(spark, sf_dir))
+    every = records(spark, sf_dir).select("word", *[F.get_json_object("rec", f"$.{a}").alias(b) for a, b in (("source", "source"), ("added_date", "added_date"), ("status", "validation_status"))])
+    bare = words(spark, sf_dir).where("n_tokens >= 5").select(F.concat(F.lit(" "), F.upper("word")).alias("word"), *[F.lit(None).cast("string").alias(c) for c in ("source", "added_date", "validation_status")])
+    once = lists.promoted_dictionary(every.join(valid, "word", "left_semi"), bare, "2026-01-01")
+    return lists.promoted_dictionary(once, bare, "2027-01-01")  # again: nothing changes

@@ -48,5 +48,5 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 WORDS_SQL = r"""
 tokens as (select doc_id, source, w from (select doc_id, source, unnest(regexp_split_to_array(lower(text), '[^a-zß-ÿ]+')) as w from documents) where regexp_full_match(w, '[a-z]+')),
 lexicon as (select w as word, count(*)::bigint as n_tokens, count(distinct doc_id)::bigint as n_docs, count(distinct source)::bigint as n_sources, min(doc_id) as first_doc from tokens group by w),
-words as (select *, case when n_sources >= 8 then 'twl' when n_sources >= 3 then 'pipeline' when n_docs = 1 and length(word) >= 10 then 'synthetic' else 'other' end as intake,
+words as materialized (select *, case when n_sources >= 8 then 'twl' when n_sources >= 3 then 'pipeline' when n_docs = 1 and length(word) >= 10 then 'synthetic' else 'other' end as intake,
     (date '2025-12-17' + (first_doc % 60)::int) as added, first_doc % 50 = 0 as llm_invalid from lexicon)"""
