@@ -26,9 +26,11 @@ BASE = (
 WEAK = (
     ("id", r"""(?i:client|account|user|tenant)[_-]?(?i:id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}""", "id"),
     ("bare", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{24,}={0,2}", "secret"),
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "id"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "id"),
     ("endpoint", r"""(?i:https?)://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[^\s"'<>]*)?""", "endpoint"),
 )
+#: What every match of a kind holds; texts without it are not searched for the kind.
+HOLDS = {"access": "AKIA", "email": "@", "endpoint": "://"}
 #: The part of a credential that a certain kind stands for.
 PART = {"assign": "secret", "access": "id", "hex": "secret", "id": "id", "email": "id", "bare": "secret", "endpoint": "endpoint"}
 #: A weak candidate of a part is reported if all of these other parts are in scope.
@@ -46,7 +48,7 @@ PIECE = 2000
 LENGTHS = "array<struct<gap:int,match:int,value:int>>"
 
 
-def _lengths(text: Column, pattern: str, group: int = 0) -> Column:
+def _lengths(text: Column, kind: str, pattern: str, group: int = 0) -> Column:
     """The lengths of the gaps and matches of pattern in text, leftmost first without overlaps, in code points; null without a match.
 
     The pieces between matches give the positions that the matches alone lack.
@@ -55,7 +57,8 @@ def _lengths(text: Column, pattern: str, group: int = 0) -> Column:
     each = lambda found: F.transform(found, lambda x: F.length(x))
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    return F.when(text.rlike(pattern), F.arrays_zip(each(pieces).alias("gap"), each(matches).alias("match"), each(value).alias("value")).cast(LENGTHS))
+    there = text.contains(HOLDS[kind]) & text.rlike(pattern) if kind in HOLDS else text.rlike(pattern)
+    return F.when(there, F.arrays_zip(each(pieces).alias("gap"), each(matches).alias("match"), each(value).alias("value")).cast(LENGTHS))
 
 
 def _spans(scanned: DataFrame, kinds: list[tuple[str, int]]) -> DataFrame:
@@ -86,7 +89,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col("text"), F.lit(""))
     uid, keys = (F.col("uid"), ["uid"]) if row_col else (F.monotonically_increasing_id().alias("uid"), [])
     source = columns_of(docs, id_col, text_col, *([row_col] if row_col else [])).toDF("doc_id", "text", *keys)
-    found = [_lengths(text, pattern, group).alias(f"k_{kind}") for kind, pattern, group, _ in BASE] + [_lengths(text, pattern).alias(f"k_{kind}") for kind, pattern, _ in WEAK]
+    found = [_lengths(text, kind, pattern, group).alias(f"k_{kind}") for kind, pattern, group, _ in BASE] + [_lengths(text, kind, pattern).alias(f"k_{kind}") for kind, pattern, _ in WEAK]
     scanned = save(source.select(uid, "doc_id", *found))
     certain = save(_spans(scanned, [(kind, least) for kind, _, _, least in BASE]))
 
