@@ -239,7 +239,7 @@ def _(spark, sf_dir):
     each = evidence(spark, sf_dir).join(F.broadcast(found), "pattern").join(words(spark, sf_dir).select("word", "intake"), "word")
     # posteriors are counted by stratum and cell first: at most 2**12 rows a stratum
     by = each.groupBy("intake", "posterior").agg(F.count("*").alias("n"))
-    quantile = lambda q: F.round(F.percentile("posterior", q, "n"), 6)
+    quantile = lambda q: F.round(F.percentile("posterior", q, F.col("n")), 6)
     return by.groupBy("intake").agg(
         F.lit(best).alias("model"), F.sum("n").alias("n"), F.round(F.sum(F.col("posterior") * F.col("n")) / F.sum("n"), 6).alias("mean"), F.round(F.sum(F.when(F.col("posterior") > 0.5, F.col("n")).otherwise(0)) / F.sum("n"), 6).alias("above_half"),
         *[quantile(q).alias(f"q{round(100 * q):02d}") for q in (0.05, 0.25, 0.5, 0.75, 0.95)],
