@@ -41,6 +41,16 @@ def test_json_lines(spark, tmp_path):
     (tmp_path / "again.jsonl").write_text('{"id": "1"}\n{"id": "1"}\n')
     with pytest.raises(ValueError):
         files.deck(spark, str(tmp_path / "again.jsonl"), "id string")
+    (tmp_path / "blank.txt").write_text("a\n \t \n\nb\n")
+    assert got(files.line_count(spark, str(tmp_path / "blank.txt"))) == [(2,)]
+    (tmp_path / "log.jsonl").write_text("".join(f'{{"id": "{i}"}}\n' for i in range(50)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        lines = files.log_lines(spark, str(tmp_path / "log.jsonl"), "id string").orderBy("file", "block", "place").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["id"] for r in lines] == [str(i) for i in range(50)]
     assert [r["file"] for r in files.log_lines(spark, str(tmp_path / "deck.jsonl"), "id string").collect()] == ["deck.jsonl"] * 2
 
 
@@ -51,7 +61,7 @@ def test_count_files(spark, tmp_path):
     assert got(files.titles(spark, str(tmp_path / "t.tsv"))) == [("cat",)]
     (tmp_path / "words.10").write_bytes("café\nDog\n".encode("latin-1"))
     (tmp_path / "words.35").write_bytes(b"dog\ncow\n")
-    assert got(files.tiers(spark, str(tmp_path / "words.*"))) == [("café", 10), ("cow", 35), ("dog", 10)]
+    assert got(files.tiers(spark, str(tmp_path / "words.*"))) == [("cow", 35), ("dog", 10)]  # plain words only
     (tmp_path / "gl.txt").write_text("  cat a small animal \ndog\n\n")
     assert got(files.glossary(spark, str(tmp_path / "gl.txt"))) == [("cat", "a small animal"), ("dog", None)]
     (tmp_path / "li.txt").write_text("# head\nCat # note\nno way\n\n")

@@ -104,3 +104,8 @@ def normal_quantile(p: Column) -> Column:
 
     x = F.aggregate(F.sequence(F.lit(1), F.lit(4)), guess, nearer)
     return F.when((p > 0) & (p < 1), F.when(p < 0.5, x).otherwise(-x))
+
+
+def iso_utc(ts: Column) -> Column:
+    """A timestamp as ISO 8601 in UTC, to the second, with Z."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -127,3 +127,8 @@ def _(w):
 def _(spark, sf_dir):
     scored = QUERIES["k35_quality"](spark, sf_dir).withColumn("letter", F.left("word", F.lit(1))).withColumn("tie", F.sha2(F.concat(F.lit("tie:"), "word"), 256))
     return stats.best_of_buckets(scored, _goals(words(spark, sf_dir)), "letter", "quality", "tie", "word").select("word", "quality", "rank")
+
+
+@on_words("k44_iso_times", "select word, added::varchar || 'T00:00:00Z' as at from words")
+def _(w):
+    return w.select("word", fn.iso_utc(F.col("added").cast("timestamp")).alias("at"))

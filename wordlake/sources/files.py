@@ -24,7 +24,7 @@ def list_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def line_count(spark: SparkSession, path: str) -> DataFrame:
     """One row (n): lines that are not blank, repeated ones counted."""
-    return spark.read.text(path).agg(F.count_if(F.trim("value") != "").alias("n"))
+    return spark.read.text(path).agg(F.count_if(F.col("value").rlike(r"\S")).alias("n"))
 
 
 def _commas(spark: SparkSession, path: str) -> DataFrame:
@@ -117,8 +117,11 @@ def deck(spark: SparkSession, path: str, schema: str, key: str = "id") -> DataFr
 
 
 def log_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines of a folder, with file and line place to order them by."""
-    return spark.read.json(path, schema=schema).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    """JSON lines of a folder, with file, block and place; ordered by these three they stand as in their files.
+
+    block is where in the file the task's part begins, and place grows with the lines of a part.
+    """
+    return spark.read.json(path, schema=schema).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
 
 
 def titles(spark: SparkSession, path: str) -> DataFrame:
@@ -129,11 +132,11 @@ def titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tiers(spark: SparkSession, path: str, pattern: str = r"\.(\d+)$") -> DataFrame:
-    """(word, tier): Latin-1 lists whose names end in their tier; a word has the smallest."""
+    """(word, tier): plain words of Latin-1 lists whose names end in their tier; a word has the smallest."""
     tier = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("int").alias("tier")
     lines = spark.read.csv(path, schema="value string", encoding="ISO-8859-1", sep="\u0001", quote="").select("value", tier)
-    word = F.lower(F.trim("value"))
-    return lines.where("tier is not null").groupBy(word.alias("word")).agg(F.min("tier").alias("tier")).where("word <> ''")
+    plain = lines.select(normalise(F.trim("value")).alias("word"), "tier").where("word is not null and tier is not null")
+    return plain.groupBy("word").agg(F.min("tier").alias("tier"))
 
 
 #: Bytes of an archive and of one of its members at most.
