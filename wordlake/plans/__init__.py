@@ -2,6 +2,6 @@
 
 from . import features, fits, queries, records
 from . import classes  # after features, whose SQL it uses  # isort: skip
-from . import mixtures, outputs  # isort: skip
+from . import gates, mixtures, outputs  # isort: skip
 
-__all__ = ["classes", "features", "fits", "mixtures", "outputs", "queries", "records"]
+__all__ = ["classes", "features", "fits", "gates", "mixtures", "outputs", "queries", "records"]
