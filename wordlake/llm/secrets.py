@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ROW, columns_of, numbered, save
+from .common import BROADCAST_IDS, ROW, columns_of, numbered, save
 
 #: Certain kinds: (kind, expression, group whose length counts, least length).
 BASE = (
@@ -131,7 +131,11 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     masked each by itself.  A null text stays null; all rows stay.
     """
     table = numbered(docs)
-    spans = find_secrets(table, row_col=ROW).where(F.size("found") > 0).select(F.col("uid").alias(ROW), F.col("found").alias("__spans"))
+    spans = save(find_secrets(table, row_col=ROW).where(F.size("found") > 0).select(F.col("uid").alias(ROW), F.col("found").alias("__spans")))
+    # only the rows with spans are shuffled; their numbers are broadcast while they are few
+    ids = spans.select(ROW)
+    ids = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    own, rest = table.join(ids, ROW, "left_semi"), table.join(ids, ROW, "left_anti")
     # overlapping spans are one; a new one begins where no earlier span reaches
     order = Window.partitionBy(ROW).orderBy("span")
     each = spans.select(ROW, F.explode("__spans").alias("span")).distinct()
@@ -139,7 +143,7 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     each = each.withColumn("number", F.sum((F.coalesce(F.col("upto"), F.lit(-1)) <= F.col("span.start")).cast("int")).over(order))
     covers = each.groupBy(ROW, "number").agg(F.min("span.start").alias("a"), F.max("span.end").alias("b"))
     # texts are cut into pieces, so that a place is found in a piece and not in the whole text for each span
-    texts = table.join(spans.select(ROW), ROW, "left_semi").select(ROW, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("piece", "own"))
+    texts = own.select(ROW, F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("piece", "own"))
     parts = covers.select(ROW, "a", "b", F.explode(F.sequence(F.floor(F.col("a") / PIECE).cast("int"), F.floor((F.greatest("b", F.col("a") + 1) - 1) / PIECE).cast("int"))).alias("piece"))
     inside = parts.groupBy(ROW, "piece").agg(F.sort_array(F.collect_list(F.struct((F.col("a") - F.col("piece") * PIECE).cast("int").alias("a"), (F.col("b") - F.col("piece") * PIECE).cast("int").alias("b")))).alias("cuts"))
     # what stays before each cut, the mask where a cut begins, and what stays after the last
@@ -148,7 +152,7 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     masked = F.when(F.col("cuts").isNull(), F.col("own")).otherwise(F.concat(F.array_join(kept, ""), between(F.element_at("cuts", -1)["b"], F.length("own"))))
     pieces = texts.join(inside, [ROW, "piece"], "left").select(ROW, F.struct("piece", masked.alias("text")).alias("p"))
     done = pieces.groupBy(ROW).agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["text"]), "").alias("__text"))
-    joined = table.join(done, ROW, "left").withColumn("text", F.coalesce("__text", "text")).drop("__text")
+    joined = own.join(done, ROW, "left").withColumn("text", F.coalesce("__text", "text")).drop("__text").unionByName(rest)
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return joined.select(*docs.columns)
