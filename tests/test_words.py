@@ -130,3 +130,28 @@ def test_form_ledger_and_guard(spark, tmp_path):
     assert sorted(r["value"] for r in spark.read.text(place).collect()) == ["a", "b"]
     checked = spark.createDataFrame([("never", None), ("ancient", "2025-01-01"), ("recent", "2026-02-14")], "word string, checked string").withColumn("checked", F.col("checked").cast("date"))
     assert [r["word"] for r in lists.due(checked, "2026-02-15").collect()] == ["never", "ancient"] and words(lists.evict(checked, "2026-02-15")) == ["recent"]
+
+
+def test_lexicon_counts_an_id_once_wherever_it_stands(spark, tmp_path):
+    from wordlake.sources.lexicon import WORDS_SQL, word_sources, words
+
+    docs = [(1, "Ärger the the cat", "src1"), (1, "the dog café", "src1"), (1, "the emu", "src2"), (2, "cat's CAT\ncat", "src3"), (3, None, "src3"), (4, "", "src4"), (None, "the gnu", "src5"), (None, "the gnu", "src5"), (5, "the ox", None)]
+    for name, held in (("some ids twice", docs), ("each id once", [d for d in docs if d[0] != 1]), ("nothing", [])):
+        folder = tmp_path / name.replace(" ", "-")
+        spark.createDataFrame(held, "doc_id long, text string, source string").write.parquet(str(folder / "documents.parquet"))
+        con = duckdb.connect()
+        con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+        for made, sql in ((words(spark, str(folder)), "select * from words"), (word_sources(spark, str(folder)), "select w, source, count(*) as n, count(distinct doc_id) as d, min(doc_id) as first_doc from tokens group by all")):
+            want = con.execute(f"with {WORDS_SQL} {sql}").fetchall()
+            columns = [d[0] for d in con.description]
+            assert rows(columns, want) == rows(columns, [[r[c] for c in columns] for r in made.collect()]), name
+
+
+def test_lexicon_shuffles_no_row_per_word_and_document(spark):
+    from wordlake.sources import lexicon
+
+    docs = spark.createDataFrame([(i, "the cat and the dog", "src1") for i in range(1000)], "doc_id long, text string, source string")
+    made = lexicon._by_source(lexicon._tallies(docs))
+    rows_out = made._jdf.queryExecution().executedPlan().toString().split("\n")
+    keys = [line for line in rows_out if "Exchange hashpartitioning" in line]
+    assert len(keys) == 1 and "doc_id" not in keys[0]
