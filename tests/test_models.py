@@ -53,6 +53,19 @@ def test_char_model(spark):
     assert math.isclose(sum(weights), 1)
 
 
+def test_counted_events_give_the_weights_and_scores_of_single_ones(spark):
+    train, words = ["the", "then", "hat", "that"], ["the", "tan", "xo", "", "tan", "tent"]
+    model, held = models.char_table(frame(spark, *train)), frame(spark, *words).withColumn("long", F.length("word") > 2)
+    single, counted = models.char_shares(held, model), models.kind_shares(held, model, "long")
+    want = single.groupBy((F.length("word") > 2).alias("long"), "shares").agg(F.count("*").alias("n"))
+    read = lambda df: sorted(((r["long"], r["n"], list(r["shares"])) for r in df.collect()), key=repr)
+    assert read(counted.groupBy("long", "shares").agg(F.sum("n").alias("n"))) == read(want)
+    assert np.allclose(models.interpolation_weights(single), models.interpolation_weights(models.kind_shares(held, model)))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert keys and not any("word#" in line.split("]")[0] for line in keys)  # no row per word and character is shuffled
+
+
 def test_char_weights_of_nothing(spark):
     empty = frame(spark, "a").where("false")
     assert models.interpolation_weights(models.char_shares(empty, models.char_table(empty))) == [0.2] * 5

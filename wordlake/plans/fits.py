@@ -37,14 +37,15 @@ def _(w):
 
 @on_words("f31_perplexity", f"{_SHARES} select n_sources >= 3 as trained, count(*) as events, round(pow(10, -avg(log10(greatest(p, 1e-12)))), 6) as perplexity from shares group by 1")
 def _(w):
-    each = _scored(w).join(w.select("word", (F.col("n_sources") >= 3).alias("trained")), "word")
+    each = models.kind_shares(w.withColumn("trained", F.col("n_sources") >= 3), models.char_table(w.where("n_sources >= 3")), "trained")
     p = F.log10(F.greatest(models.mixed(F.col("shares"), WEIGHTS), F.lit(1e-12)))
-    return each.groupBy("trained").agg(F.count("*").alias("events"), F.round(F.pow(F.lit(10.0), -F.avg(p)), 6).alias("perplexity"))
+    n = F.sum("n")
+    return each.groupBy("trained").agg(n.alias("events"), F.round(F.pow(F.lit(10.0), -F.sum(F.col("n") * p) / n), 6).alias("perplexity"))
 
 
 @on_words("l03_char_weights")
 def _(w):
-    weights = models.interpolation_weights(models.char_shares(w.where("n_sources < 3"), models.char_table(w.where("n_sources >= 3"))))
+    weights = models.interpolation_weights(models.kind_shares(w.where("n_sources < 3"), models.char_table(w.where("n_sources >= 3"))))
     return w.sparkSession.createDataFrame(list(enumerate(weights)), "k int, weight double")
 
 
