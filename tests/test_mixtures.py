@@ -182,3 +182,19 @@ def test_normal_functions(spark):
     got = [r["x"] for r in spark.createDataFrame([(p,) for p in ps], "p double").select(fn.normal_quantile(F.col("p")).alias("x")).collect()]
     assert got[-2:] == [None, None] and all(math.isclose(0.5 * math.erfc(-x / math.sqrt(2)), p, rel_tol=1e-9) for x, p in zip(got, ps[:-2]))
     assert all(a < b for a, b in itertools.pairwise(got[:-2]))
+
+
+def test_features_of_words_are_made_once_from_attested_words(spark):
+    from wordlake.functions import forms
+    from wordlake.plans import features
+    from wordlake.plans import mixtures as plans
+
+    w = spark.createDataFrame([("schoolinaster", 1, 1), ("schoolmaster", 9, 3), ("rnodem", 2, 1), ("modem", 5, 4), ("mm", 3, 3), ("inm", 7, 2), ("dog", 8, 8)], "word string, n_tokens long, n_docs long")
+    sources = w.select("word", "n_tokens", F.explode(forms.scan_sources(F.col("word"))).alias("neighbour"))
+    want = sources.join(w.where("n_docs >= 3").select(F.col("word").alias("neighbour"), F.col("n_tokens").alias("m")), "neighbour").select("word", "n_tokens", "neighbour", "m")
+    got = features.neighbours(w)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 2
+    data = "/root/testdata/sf0.001"
+    assert plans.features_table(spark, data).inputFiles() == plans.features_table(spark, data).inputFiles()  # though lambdas are numbered anew
+    plan = plans._frame(spark, data)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan  # no round, pass or choice of models makes it again

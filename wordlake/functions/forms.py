@@ -104,6 +104,11 @@ def scan_sources(word: Column) -> Column:
     return F.array_remove(F.array_distinct(replaced_once(word, [(art, src) for src, art in CONFUSIONS])), word)
 
 
+def scanned_forms(word: Column) -> Column:
+    """What a scan may make of the word: word is one of scan_sources() of each."""
+    return F.array_remove(F.array_distinct(replaced_once(word, CONFUSIONS)), word)
+
+
 def misread(word: Column, unit: Column) -> Column:
     """One misreading of the word, its place chosen by unit in [0, 1); null where nothing can be misread."""
     sites = replaced_once(word, CONFUSIONS)

@@ -2,7 +2,7 @@
 
 Rows, not only patterns, have their own posteriors, so a round goes over all
 distinct rows: tasks add up log-likelihood, masses, firings, and the slope and
-block Gram matrix of one Newton step on the prior, and one aggregation adds up
+block Gram matrix of one Newton step on the prior, and the driver adds up
 the tasks' sums, whose size is that of the model.
 """
 
@@ -13,14 +13,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .mixtures import seeded
 
 #: Penalty on squared prior weights for each row, and the longest step of a weight.
 RIDGE = 1e-6
 LONGEST = 2.0
+#: Distinct rows that a task of a round goes over.
+ROWS_A_TASK = 20_000
 
 
 class Priors(NamedTuple):
@@ -98,11 +101,12 @@ def class_priors(frame: DataFrame, detectors: int, features: list[str], classes:
         weights[1, 1 + features.index(third)] = 0.5  # the second class starts where the feature is high
     before, loglik, mass, means, done = -np.inf, -np.inf, np.zeros(classes), np.zeros((classes, size)), 0
     try:
+        held = rows.coalesce(max(1, -(-rows.count() // ROWS_A_TASK)))  # tasks by the number of rows, not of the session's partitions
         for done in range(1, rounds + 1):
-            made = rows.mapInArrow(_round(rates, weights, features), "sums array<double>").select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).collect()  # of the model's size
+            made = held.mapInArrow(_round(rates, weights, features), "sums array<double>").collect()  # a row a task, of the model's size
             if not made:
                 raise ValueError("no rows to fit a model to")
-            sums = np.array([r["v"] for r in sorted(made, key=lambda r: r["at"])])
+            sums = np.sum([r["sums"] for r in made], 0)
             loglik, mass = sums[0], sums[1 : 1 + classes]
             cut = np.cumsum([1 + classes, classes * detectors, classes * size, (classes - 1) * size])
             fired, means = sums[cut[0] : cut[1]].reshape(classes, -1), sums[cut[1] : cut[2]].reshape(classes, -1)
@@ -126,18 +130,18 @@ def class_priors(frame: DataFrame, detectors: int, features: list[str], classes:
 
 
 def shares(frame: DataFrame, fitted: Priors, features: list[str]) -> DataFrame:
-    """frame with posterior, an array of each class's share of the row, as expressions of its columns."""
-    joint = []
-    for rates, weights in zip(fitted.rates, fitted.weights):
-        line: Column = F.lit(float(weights[0] + np.log1p(-rates).sum()))
-        for f, w in zip(features, weights[1:]):
-            line = line + F.col(f) * float(w)
-        for j, p in enumerate(rates):
-            line = line + F.shiftright("pattern", j).bitwiseAND(1) * float(np.log(p) - np.log1p(-p))
-        joint.append(line)
-    most = F.greatest(*joint) if len(joint) > 1 else joint[0]
-    frame = frame.withColumn("__joint", F.array(*joint)).withColumn("__most", most)
-    each = F.transform("__joint", lambda j: F.exp(j - F.col("__most")))
-    frame = frame.withColumn("__each", each)
-    total = F.aggregate("__each", F.lit(0.0), lambda a, e: a + e)
-    return frame.withColumn("posterior", F.transform("__each", lambda e: e / total)).drop("__joint", "__most", "__each")
+    """frame with posterior, an array of each class's share of the row."""
+    rates, weights = fitted.rates, fitted.weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = lambda c: batch.column(c).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            bits = ((own("pattern")[:, None] >> np.arange(rates.shape[1])) & 1).astype(float)
+            x = np.stack([np.ones(len(bits)), *(own(c).astype(float) for c in features)], 1)
+            joint = x @ weights.T + bits @ (np.log(rates) - np.log1p(-rates)).T + np.log1p(-rates).sum(1)
+            each = np.exp(joint - joint.max(1, keepdims=True))
+            post = each / each.sum(1, keepdims=True)
+            places = pa.array(np.arange(len(post) + 1) * post.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(places, pa.array(post.ravel()))], [*batch.schema.names, "posterior"])
+
+    return frame.mapInArrow(run, StructType([*frame.schema.fields, StructField("posterior", ArrayType(DoubleType()))]))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import words as fn
 from ..operators import mixtures, priors, stats
-from ..sources.lexicon import words
+from ..sources.lexicon import table, words
+from ..sources.store import stored
 from .classes import _CELLS, DETECTORS, EDGES
-from .features import neighbours
+from .features import most_frequent_neighbour
 from .queries import evidence, on_tables, on_words
 
 ANCHOR = 1
@@ -174,12 +175,20 @@ def _(spark, sf_dir):
     return mixtures.profiles(*_independent(spark, sf_dir))
 
 
+def features_table(spark, sf_dir) -> DataFrame:
+    """(word, pattern, length, vowels, scan), kept sorted by word: length, share of vowels, and how much more frequent the likeliest scanned word is, null without one."""
+
+    def build() -> DataFrame:
+        made = evidence(spark, sf_dir, "n_tokens").join(most_frequent_neighbour(words(spark, sf_dir)), "word", "left")
+        scan = F.round(F.log10((F.col("m") + 1) / (F.col("n_tokens") + 1)), 1)
+        return made.select("word", "pattern", F.length("word").alias("length"), F.round(fn.vowel_ratio(F.col("word")), 2).alias("vowels"), scan.alias("scan"))
+
+    return stored(table(spark, sf_dir, "documents"), "features", build, "word")
+
+
 def _frame(spark, sf_dir) -> tuple[DataFrame, list[str]]:
-    """(word, pattern) with standardised features: length, share of vowels, and how much more frequent the likeliest scanned word is, missing without one."""
-    scan = neighbours(words(spark, sf_dir)).groupBy("word").agg(F.max(F.log10((F.col("m") + 1) / (F.col("n_tokens") + 1))).alias("scan"))
-    frame = evidence(spark, sf_dir).join(scan, "word", "left")
-    frame = frame.select("word", "pattern", F.length("word").alias("length"), F.round(fn.vowel_ratio(F.col("word")), 2).alias("vowels"), F.round("scan", 1).alias("scan"))
-    return priors.standardised(frame, ["length", "vowels", "scan"])
+    """The features of features_table() standardised; scan is missing where no word may have been misread as this one."""
+    return priors.standardised(features_table(spark, sf_dir), ["length", "vowels", "scan"])
 
 
 def _weights(spark, fitted: priors.Priors, names: list[str]) -> DataFrame:
