@@ -184,6 +184,17 @@ def test_top_k(spark):
     assert topk.top_k(topk.quantised(table.limit(0)), topk.F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_later_pivots_are_left_out_where_the_first_rule_out_little():
+    rng = topk.np.random.default_rng(5)
+    x, p, q = (rng.integers(-256, 256, (n, 64)) for n in (1000, 256, 1))
+    gaps, qgap = topk._distances(x, p), topk._distances(q, p)[0]
+    gaps[:, topk.FIRST :] = topk.np.nan  # would drop all
+    scores = x @ q[0]
+    want = topk.np.lexsort((topk.np.arange(1000), -scores))[:5]
+    found, got, _ = topk.best_of_block(topk.np.arange(1000), x, gaps, (x.astype(float) ** 2).sum(1), -1, q[0], qgap, topk.np.iinfo(topk.np.int64).min, 5, float(qgap.max()))
+    assert found.tolist() == want.tolist() and got.tolist() == scores[want].tolist()
+
+
 def test_top_k_of_every_length(spark):
     r = random.Random(9)
     rows = [(i, [r.uniform(-1, 1) for _ in range(i % 90 + 1)]) for i in range(360)]

@@ -26,7 +26,7 @@ from .common import rows, save
 PIVOTS, SAMPLE, FIRST = 256, 2048, 64
 #: Vectors in a block of candidates and of queries.
 BLOCK, QUERY_BLOCK = 1024, 256
-#: Candidates evaluated at a time.
+#: Candidates evaluated at first; then as many again as before.
 CHUNK = 64
 
 
@@ -111,30 +111,36 @@ def _gaps(k: int):
     return gaps
 
 
-def best_of_block(ids, x, gaps, norm, qid, q, qgap, floor, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """A block's candidates that may be among a query's k best: ids, scores, and how many candidates were evaluated."""
-    slack = 4e-7 * max(float(gaps.max(initial=0)), float(qgap.max(initial=0)))  # distances are kept in single precision
+def best_of_block(ids, x, gaps, norm, qid, q, qgap, floor, k: int, widest: float | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """A block's candidates that may be among a query's k best: ids, scores, and how many candidates were evaluated.
 
-    def bounds(at, first, last):
-        low = np.maximum(0, np.abs(gaps[at, first:last] - qgap[first:last]).max(1, initial=0).astype(float) - slack)
-        bound = ((q.astype(float) ** 2).sum() + norm[at] - low**2) / 2
+    widest: the largest of gaps.  Bounds of the pivots after FIRST are worth
+    their time only where the first ones leave half of the block or less.
+    """
+    slack = 4e-7 * max(float(gaps.max(initial=0) if widest is None else widest), float(qgap.max(initial=0)))  # distances are kept in single precision
+    x, q = x.astype(float, copy=False), q.astype(float)  # whole numbers below 2**53
+    square = (q**2).sum()
+
+    def bounds(gaps, norm, first, last):
+        low = np.maximum(0, np.abs(gaps[:, first:last] - qgap[first:last]).max(1, initial=0).astype(float) - slack)
+        bound = (square + norm - low**2) / 2
         return bound + 1 + np.abs(bound) * 1e-9  # floating-point slack
 
-    at = np.flatnonzero(ids != qid)
-    bound = bounds(at, 0, FIRST)
-    at, bound = at[bound >= floor], bound[bound >= floor]
-    if gaps.shape[1] > FIRST and len(at):
-        bound = np.minimum(bound, bounds(at, FIRST, None))
+    bound = bounds(gaps, norm, 0, FIRST)
+    at = np.flatnonzero((bound >= floor) & (ids != qid))
+    bound = bound[at]
+    if gaps.shape[1] > FIRST and 0 < 2 * len(at) <= len(ids):
+        bound = np.minimum(bound, bounds(gaps[at], norm[at], FIRST, None))
         at, bound = at[bound >= floor], bound[bound >= floor]
     order = np.argsort(-bound)
     at, bound = at[order], bound[order]
     scores, found, evaluated = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-    for a in range(0, len(at), CHUNK):
-        if len(scores) >= k and bound[a] < scores[k - 1]:
+    while evaluated < len(at):
+        if len(scores) >= k and bound[evaluated] < scores[k - 1]:
             break
-        own = at[a : a + CHUNK]
+        own = at[evaluated : evaluated + max(CHUNK, evaluated)]
         evaluated += len(own)
-        scores, found = np.r_[scores, x[own] @ q], np.r_[found, ids[own]]
+        scores, found = np.r_[scores, (x[own] @ q).astype(np.int64)], np.r_[found, ids[own]]
         top = np.lexsort((found, -scores))[:k]
         scores, found = scores[top], found[top]
     return found, scores, evaluated
@@ -148,10 +154,11 @@ def _best(k: int):
             for dim, ids, vectors, gaps, q_ids, q_vectors, q_gaps, q_floors in rows(batch, "dim", "ids", "vectors", "gaps", "q_ids", "q_vectors", "q_gaps", "q_floors", step=1):
                 ids, x, qids, q, floors = np.frombuffer(ids, np.int64), _matrix(vectors, dim), np.frombuffer(q_ids, np.int64), _matrix(q_vectors, dim), np.frombuffer(q_floors, np.int64)
                 gaps, qgaps = np.frombuffer(gaps, np.float32).reshape(len(ids), -1), np.frombuffer(q_gaps, np.float32).reshape(len(qids), -1)
-                norm = (x.astype(float) ** 2).sum(1)
+                x, gaps = x.astype(float), np.asfortranarray(gaps)  # a pivot's distances lie together
+                norm, widest = (x**2).sum(1), float(gaps.max(initial=0))
                 out = []
                 for i in range(len(qids)):
-                    found, scores, evaluated = best_of_block(ids, x, gaps, norm, qids[i], q[i], qgaps[i], floors[i], k)
+                    found, scores, evaluated = best_of_block(ids, x, gaps, norm, qids[i], q[i], qgaps[i], floors[i], k, widest)
                     out += [(int(qids[i]), f, s) for f, s in zip(found.tolist(), scores.tolist())] + [(int(qids[i]), None, evaluated)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["query_id", "vec_id", "score"])
 
