@@ -155,3 +155,19 @@ def test_lexicon_shuffles_no_row_per_word_and_document(spark):
     rows_out = made._jdf.queryExecution().executedPlan().toString().split("\n")
     keys = [line for line in rows_out if "Exchange hashpartitioning" in line]
     assert len(keys) == 1 and "doc_id" not in keys[0]
+
+
+def by_word(df):
+    """The joins and exchanges of a plan that go by words."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if ("Join" in line or "Exchange" in line) and ("[word#" in line or "(word#" in line)]
+
+
+def test_records_are_made_of_a_words_own_row(spark):
+    from wordlake.plans.records import records
+    from wordlake.sources.lexicon import words
+
+    every, twice = records(spark, DATA), records(spark, DATA, least=2)
+    assert by_word(every) == [] == by_word(twice)
+    often = every.join(words(spark, DATA).where("n_tokens >= 2").select("word"), "word", "left_semi")
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, often.collect()))

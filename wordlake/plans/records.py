@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import lists
 from ..operators import records as rec
 from ..operators import stats
-from ..sources.lexicon import WORDS_SQL, table, word_sources, words
+from ..sources.lexicon import WORDS_SQL, lexicon, table, word_sources, words
 from .queries import _LISTS, _ORDINAL, _valid_invalid, on_tables
 
 #: The fields of a record, as SQL over the words table that either engine reads.
@@ -32,18 +32,18 @@ _INTAKE = "case when source = 'twl_scrabble_dictionary' then 'twl' when source =
 _CLEAN = "nullif(trim(regexp_replace(regexp_replace(regexp_replace(definition, '\\{(et_link|d_link)\\|[^|}]*\\|([^}]*)\\}', '\\2', 'g'), '\\{[^}]*\\}', '', 'g'), '\\s+', ' ', 'g')), '')"
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(word, rec): one JSON object a word; fields without a value are absent."""
-    own = words(spark, sf_dir)
-    number = F.substring("source", 4, 9).cast("int")
-    named = word_sources(spark, sf_dir).select(F.col("w").alias("word"), F.concat("source", F.when(number % 3 == 0, "_unlikely").otherwise("_valid")).alias("name"))
-    named = named.groupBy("word").agg(F.sort_array(F.collect_list("name")).alias("candidate_source"))  # a word has no more than the sources
+def records(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
+    """(word, rec): one JSON object a word of so many tokens at least, made of the word's own row; fields without a value are absent."""
+    number = lambda s: F.substring(s, 4, 9).cast("int")
+    name = lambda s: F.concat(s["source"], F.when(number(s["source"]) % 3 == 0, "_unlikely").otherwise("_valid"))
+    named = F.sort_array(F.array_compact(F.transform("sources", name))).alias("candidate_source")
+    own = lexicon(spark, sf_dir).where(F.col("n_tokens") >= least)
     passed = lambda c, n, confidence: F.struct((F.col(c) % n == 0).alias("passed"), confidence.alias("confidence"))
     more = [
         F.when(F.col("n_docs") % 2 == 1, passed("n_tokens", 2, F.col("n_tokens") % 100 / 100.0)).alias("advanced_validation"),
         F.when(F.col("n_docs") % 4 < 2, passed("n_tokens", 3, F.col("n_docs") % 10 / 10.0)).alias("statistical_validation"),
     ]
-    return own.join(named, "word").select("word", F.to_json(F.struct(*[F.expr(sql).alias(name) for name, sql in FIELDS.items()], "candidate_source", *more)).alias("rec"))
+    return own.select("word", F.to_json(F.struct(*[F.expr(sql).alias(name) for name, sql in FIELDS.items()], named, *more)).alias("rec"))
 
 
 def on_records(name: str, sql: str):
@@ -64,7 +64,7 @@ def _(d, r):
 @on_tables("d04_flags", f"with {RECORDS_SQL}, {_LISTS}, f as (select word, {_INTAKE} as intake, coalesce(coalesce(unverified_llm_verdict, status) = 'invalid', false) as bad from r where n_tokens >= 2), p as (select distinct t as word from (select unnest(string_split(lower(text), ' ')) as t from documents) where t <> '') select p.word, coalesce(f.intake, 'other') as intake, (case when f.bad then 1 else 0 end + case when exists (select 1 from invalid i where i.word = p.word) then 2 else 0 end + case when not regexp_full_match(p.word, '[a-z]+') then 4 else 0 end)::int as flags from p left join f on f.word = p.word")
 def _(spark, sf_dir):
     listed = table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).where("word <> ''").distinct()
-    facts = rec.parse(records(spark, sf_dir)).join(words(spark, sf_dir).where("n_tokens >= 2").select("word"), "word", "left_semi").select("word", rec.intake_of(F.col("rec")).alias("intake"), rec.llm_says_invalid(F.col("rec")).alias("bad"))
+    facts = rec.parse(records(spark, sf_dir, least=2)).select("word", rec.intake_of(F.col("rec")).alias("intake"), rec.llm_says_invalid(F.col("rec")).alias("bad"))
     invalid = _valid_invalid(words(spark, sf_dir))[1].withColumn("also", F.lit(True))
     bit = lambda c, n: F.when(c, n).otherwise(0)
     flags = bit(F.col("bad"), 1) + bit(F.col("also"), 2) + bit(~F.col("word").rlike(r"^[a-z]+\z"), 4)
