@@ -171,3 +171,14 @@ def test_records_are_made_of_a_words_own_row(spark):
     assert by_word(every) == [] == by_word(twice)
     often = every.join(words(spark, DATA).where("n_tokens >= 2").select("word"), "word", "left_semi")
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, often.collect()))
+
+
+def test_families_are_told_from_a_words_own_row(spark):
+    from wordlake.plans.gates import _families
+    from wordlake.sources.lexicon import words
+
+    made = _families(words(spark, DATA))
+    assert by_word(made) == []
+    assert by_word(QUERIES["l24_firing_rates"](spark, DATA)) == []
+    single = {r["word"] for r in made.where("family = 'single'").collect()}
+    assert single == {r["word"] for r in words(spark, DATA).where("n_docs = 1").collect()}

@@ -17,16 +17,14 @@ family as (select word, 'single' as family from single union all select word, 'r
 _GATE_FEATURES = {"n_tokens": "n_tokens", "n_docs": "n_docs", "tokens_per_doc": "n_tokens / n_docs", "length": "length(word)"}
 
 
-def _families(spark, sf_dir):
-    """(word, family): words of one document, and attested words of the lowest quarter of counts."""
-    w = words(spark, sf_dir)
-    attested = w.where("n_docs >= 3")
+def _families(w):
+    """w with family: words of one document, and attested words of the lowest quarter of counts; no word is both, others go."""
     # the quarter from counts of counts
-    counts = attested.groupBy("n_tokens").agg(F.count("*").alias("k"))
+    counts = w.where("n_docs >= 3").groupBy("n_tokens").agg(F.count("*").alias("k"))
     sums = counts.withColumn("upto", stats.running(F.col("k"), F.col("n_tokens"))).join(F.broadcast(counts.agg(F.sum("k").alias("all"))), F.lit(True))
     q = sums.where("upto >= ceil(0.25 * all)").agg(F.min("n_tokens").alias("q"))  # one row
-    rare = attested.join(F.broadcast(q), F.col("n_tokens") <= F.col("q")).select("word")
-    return w.where("n_docs = 1").select("word", F.lit("single").alias("family")).unionByName(rare.withColumn("family", F.lit("rare")))
+    family = F.when(F.col("n_docs") == 1, "single").when((F.col("n_docs") >= 3) & (F.col("n_tokens") <= F.col("q")), "rare")
+    return w.join(F.broadcast(q), F.lit(True)).withColumn("family", family).where("family is not null").drop("q")
 
 
 @on_tables(
@@ -38,7 +36,7 @@ e as (select *, sqrt(greatest((auc * (1 - auc) + (p - 1) * (auc / (2 - auc) - au
 select feature, p::bigint as positives, q::bigint as negatives, round(auc, 9) as auc, round(auc - 1.96 * se, 9) as low, round(auc + 1.96 * se, 9) as high, auc - 1.96 * se <= 0.5 and auc + 1.96 * se >= 0.5 as undecided, bool_and(auc - 1.96 * se <= 0.5 and auc + 1.96 * se >= 0.5) over () as fires from e""",
 )
 def _(spark, sf_dir):
-    each = _families(spark, sf_dir).join(words(spark, sf_dir), "word")
+    each = _families(words(spark, sf_dir))
     score = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.expr(x).cast("double").alias("score")) for n, x in _GATE_FEATURES.items()])).alias("x")
     found = stats.auc(each.select((F.col("family") == "rare").alias("label"), score).select("label", "x.*"), ["feature"]).where("auc is not null")
     low, high = stats.auc_interval(F.col("auc"), F.col("positives"), F.col("negatives"))
@@ -53,7 +51,7 @@ def _(spark, sf_dir):
     f"with {WORDS_SQL}, {_PATTERN}{_FAMILIES} select family, d::int as detector, count(*) as n, round(avg((pattern >> d::int) & 1), 9) as rate from family join evidence using (word), range({DETECTORS}) as r(d) group by family, d",
 )
 def _(spark, sf_dir):
-    own = _families(spark, sf_dir).join(evidence(spark, sf_dir), "word").groupBy("family", "pattern").agg(F.count("*").alias("n"))
+    own = _families(evidence(spark, sf_dir, "n_docs", "n_tokens")).groupBy("family", "pattern").agg(F.count("*").alias("n"))
     bits = F.explode(F.array(*[F.struct(F.lit(d).alias("detector"), F.shiftright("pattern", d).bitwiseAND(1).alias("fires")) for d in range(DETECTORS)])).alias("b")
     each = own.select("family", "n", bits).select("family", "n", "b.*").groupBy("family", "detector")
     return each.agg(F.sum("n").alias("n"), F.round(F.sum(F.col("n") * F.col("fires")) / F.sum("n"), 9).alias("rate"))
