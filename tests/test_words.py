@@ -182,3 +182,7 @@ def test_families_are_told_from_a_words_own_row(spark):
     assert by_word(QUERIES["l24_firing_rates"](spark, DATA)) == []
     single = {r["word"] for r in made.where("family = 'single'").collect()}
     assert single == {r["word"] for r in words(spark, DATA).where("n_docs = 1").collect()}
+
+
+def test_agreement_does_not_join_words_with_themselves(spark):
+    assert by_word(QUERIES["f27_agreement"](spark, DATA)) == []

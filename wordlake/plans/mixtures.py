@@ -107,10 +107,10 @@ def _independent(spark, sf_dir) -> tuple[DataFrame, mixtures.Independent, mixtur
     return cells, model, mixtures.fit(cells, model, "s1", ANCHOR)
 
 
-def _posterior(spark, sf_dir) -> DataFrame:
-    """(word, pattern, posterior) under the independent model; cells join back by broadcast, being at most 2**12."""
+def _posterior(spark, sf_dir, *more: str) -> DataFrame:
+    """(word, pattern, posterior) under the independent model, and more columns of words(); cells join back by broadcast, being at most 2**12."""
     cells, model, fitted = _independent(spark, sf_dir)
-    return evidence(spark, sf_dir).join(F.broadcast(mixtures.posteriors(cells, model, fitted.x)), "pattern")
+    return evidence(spark, sf_dir, *more).join(F.broadcast(mixtures.posteriors(cells, model, fitted.x)), "pattern")
 
 
 @on_tables("l10_latent_class")
@@ -120,8 +120,8 @@ def _(spark, sf_dir):
 
 @on_tables("f27_agreement")
 def _(spark, sf_dir):
-    found = _posterior(spark, sf_dir).join(words(spark, sf_dir).select("word", (F.col("n_docs") >= 3).alias("listed")), "word")
-    return found.groupBy("listed").agg(F.count_if(F.col("posterior") >= 0.5).alias("likely"), F.count_if(F.col("posterior") < 0.5).alias("unlikely"))
+    found = _posterior(spark, sf_dir, "n_docs")
+    return found.groupBy((F.col("n_docs") >= 3).alias("listed")).agg(F.count_if(F.col("posterior") >= 0.5).alias("likely"), F.count_if(F.col("posterior") < 0.5).alias("unlikely"))
 
 
 @on_tables("l11_loglinear")
