@@ -186,3 +186,9 @@ def test_families_are_told_from_a_words_own_row(spark):
 
 def test_agreement_does_not_join_words_with_themselves(spark):
     assert by_word(QUERIES["f27_agreement"](spark, DATA)) == []
+
+
+def test_word_tables_have_files_for_every_core(spark):
+    from wordlake.sources.lexicon import words
+
+    assert len(words(spark, DATA).inputFiles()) > 2 * spark.sparkContext.defaultParallelism
