@@ -192,3 +192,18 @@ def test_word_tables_have_files_for_every_core(spark):
     from wordlake.sources.lexicon import words
 
     assert len(words(spark, DATA).inputFiles()) > 2 * spark.sparkContext.defaultParallelism
+
+
+def test_word_tables_have_files_by_the_size_of_their_source(spark, tmp_path, monkeypatch):
+    from wordlake.sources import store
+
+    few, many = (spark.range(2000).select((F.col("id") % m).alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("word")) for m in (2, 3))
+    few.repartition(4).write.parquet(str(tmp_path / "few"))
+    many.repartition(4).write.parquet(str(tmp_path / "many"))
+    made = lambda name: (lambda df: store.stored(df, name, lambda: df.select("word", "n"), "word"))(spark.read.parquet(str(tmp_path / name)))
+    by_core = len(made("few").inputFiles())
+    assert by_core <= store.FILES_A_CORE * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(store, "SOURCE_A_FILE", 4 << 10, raising=False)
+    by_size = made("many")
+    assert len(by_size.inputFiles()) > 2 * by_core
+    assert sorted(map(tuple, by_size.collect())) == sorted(map(tuple, many.select("word", "n").collect()))
